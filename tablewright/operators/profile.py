@@ -248,7 +248,8 @@ def first_valid(df: DataFrame, column: str, order: str) -> DataFrame:
     return df.where(_col(column).isNotNull()).agg(F.min_by(_col(column), _col(order)).alias(column))
 
 
-def users_by_month(df: DataFrame, instant: str, channel: str, user: str, start: str, end: str) -> DataFrame:
+def users_by_month(df: DataFrame, instant: str, channel: str, user: str, start: str, end: str,
+                   by: list[str] | None = None) -> DataFrame:
     """Distinct users per year, month and channel of a date range (both ends included).
 
     Users are made distinct before they are counted, so a month that holds most rows is spread by user.
@@ -258,9 +259,9 @@ def users_by_month(df: DataFrame, instant: str, channel: str, user: str, start:
         t < (F.lit(end).cast("date") + F.expr("interval 1 day")).cast("timestamp_ntz"))
     return (df.where(in_range)
             .select(F.year(t).alias("Year"), F.month(t).alias("Month"), _col(channel).alias("defaultChannelGrouping"),
-                    _col(user).alias("user"))
+                    *[_col(c) for c in by or []], _col(user).alias("user"))
             .distinct()
-            .groupBy("Year", "Month", "defaultChannelGrouping")
+            .groupBy("Year", "Month", "defaultChannelGrouping", *(by or []))
             .agg(F.count("user").alias("Users")))
 
 

@@ -92,8 +92,7 @@ def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | No
         pruned = target.where(touched_partitions(rows, layout)) if _listable(rows, layout) else _same_partitions(
             target, rows, layout)
         merged = merge.upsert(pruned, rows, keys, update, check=False)
-        (merged.hint("rebalance", *layout).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").insertInto(name))
+        _replace_partitions(merged, name, layout)
         return
     _save(merge.upsert(target, rows, keys, update, check=False), f"{name}__new", layout)
     swap_in(spark, name)
@@ -134,8 +133,19 @@ def compact(spark: SparkSession, name: str, where: Column | None = None) -> None
         swap_in(spark, name)
         return
     chosen = rows if where is None else rows.where(where)
-    (chosen.hint("rebalance", *layout).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(name))
+    _replace_partitions(chosen, name, layout)
+
+
+def _replace_partitions(df: DataFrame, name: str, layout: list[str]) -> None:
+    """Replace the partitions the frame holds rows of. Old files go only when the whole write commits."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")  # insertInto takes the mode from the session only
+    try:
+        df.hint("rebalance", *layout).write.mode("overwrite").insertInto(name)
+    finally:
+        conf.set(key, before)
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:

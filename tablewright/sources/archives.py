@@ -18,8 +18,9 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
             .option("pathGlobFilter", "*.zip").load(path).select("path", "content"))
 
 
-def expand_records(packed: DataFrame, sep: str = ",", chunk: int = 5000) -> DataFrame:
+def expand_records(packed: DataFrame, sep: str = ",", chunk_rows: int = 5000, chunk_chars: int = 8_000_000) -> DataFrame:
     """One row per delimited record of every member, with its number; number 0 is the header."""
+    columns = ["path", "member", "record_no", "fields"]
 
     def members(batches):
         import csv
@@ -28,21 +29,24 @@ def expand_records(packed: DataFrame, sep: str = ",", chunk: int = 5000) -> Data
 
         import pandas as pd
 
+        csv.field_size_limit(2**31 - 1)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
+                rows, held = [], 0
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in archive.namelist():
-                        if member.endswith("/"):
+                    for info in archive.infolist():
+                        if info.is_dir():
                             continue
-                        with archive.open(member) as raw:
-                            rows = []
-                            for number, fields in enumerate(csv.reader(io.TextIOWrapper(raw, "utf-8", newline=""), delimiter=sep)):
-                                rows.append((path, member, number, fields))
-                                if len(rows) == chunk:
-                                    yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
-                                    rows = []
-                            if rows:
-                                yield pd.DataFrame(rows, columns=["path", "member", "record_no", "fields"])
+                        with archive.open(info) as raw:
+                            text = io.TextIOWrapper(raw, "utf-8", newline="")
+                            for number, record in enumerate(csv.reader(text, delimiter=sep)):
+                                rows.append((path, info.filename, number, record))
+                                held += sum(map(len, record))
+                                if len(rows) >= chunk_rows or held >= chunk_chars:
+                                    yield pd.DataFrame(rows, columns=columns)
+                                    rows, held = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=columns)
 
     return packed.select("path", "content").mapInPandas(members, RECORD_SCHEMA)
 

@@ -19,7 +19,7 @@ def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.Struct
 
 def read_backslash(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = ",") -> DataFrame:
     """Files whose quoted fields may end in a backslash: it is data here, not an escape."""
-    return read_delimited(spark, paths, schema, sep, escape="\0", charToEscapeQuoteEscaping="\0")
+    return read_delimited(spark, paths, schema, sep, escape='"')
 
 
 def headers(spark: SparkSession, paths: list[str], sep: str, threads: int = 16) -> dict[tuple[str, ...], list[str]]:
