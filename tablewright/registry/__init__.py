@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tablewright.registry.common import Query
 
-MODULES = ("profiles",)
+MODULES = ("profiles", "columns", "merges", "nesting", "storage", "flows")
 
 
 def _registries():
