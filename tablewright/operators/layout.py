@@ -11,12 +11,14 @@ from tablewright.functions import names
 
 
 def write_layout(df: DataFrame, path: str, layers: dict[str, object] | None = None, by: list[str] | None = None,
-                 format: str = "csv", if_absent: bool = False, sep: str = ",") -> bool:
+                 format: str = "csv", if_absent: bool = False, sep: str = ",", skip_empty: bool = True) -> bool:
     """Write under k1=v1/k2=v2/, fixed layers first, then columns, in the order given. An empty frame is skipped.
 
+    The check for rows starts the frame's plan; turn skip_empty off where that plan is dear.
+
     Rows are rebalanced by their folder, so a folder gets few files and a folder with most rows several writers.
     """
-    if df.isEmpty():
+    if skip_empty and df.isEmpty():
         return False
     fixed = layers or {}
     order = [*fixed, *(by or [])]

@@ -49,7 +49,7 @@ def create_table(df: DataFrame | None, name: str, partition_by: list[str] | None
 def overwrite_table(df: DataFrame | None, name: str, keep_previous: bool = False, as_of: date | None = None,
                     **metadata: object) -> bool:
     """Replace the rows of an existing table. An empty frame is refused and the table stays as it is."""
-    if df is None or df.isEmpty():
+    if df is None:
         return False
     spark = df.sparkSession
     recover(spark, name)
@@ -57,6 +57,9 @@ def overwrite_table(df: DataFrame | None, name: str, keep_previous: bool = False
         raise ValueError(f"table {name} does not exist")
     frame = columns.append_metadata(df, as_of, **metadata) if metadata else df
     _save(frame, f"{name}__new", partition_columns(spark, name))
+    if spark.table(f"{name}__new").isEmpty():  # asked of the written copy, so the frame is computed once
+        spark.sql(f"DROP TABLE {name}__new")
+        return False
     swap_in(spark, name, keep_previous)
     return True
 
@@ -156,16 +159,23 @@ def swap_in(spark: SparkSession, name: str, keep_previous: bool = False) -> None
     """Put <name>__new in the place of <name>."""
     previous = f"{name}__previous"
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {name}__new RENAME TO {name}")
+    _rename(spark, name, previous)
+    _rename(spark, f"{name}__new", name)
     if not keep_previous:
         spark.sql(f"DROP TABLE {previous}")
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    if partition_columns(spark, new):
+        # partitions keep the paths they had before the rename until the catalog looks again
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
+
 def recover(spark: SparkSession, name: str) -> None:
     """Repair a swap that stopped half way: the table comes back and a leftover copy goes."""
     if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__previous"):
-        spark.sql(f"ALTER TABLE {name}__previous RENAME TO {name}")
+        _rename(spark, f"{name}__previous", name)
     if spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__new"):
         spark.sql(f"DROP TABLE {name}__new")
 

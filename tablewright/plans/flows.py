@@ -85,7 +85,7 @@ def problem_files(drop: DataFrame, location: str) -> DataFrame:
 
 def land_drop(packed: DataFrame, target: str, control_table: str) -> DataFrame:
     """Unpack a drop, land it under table=/date=, record problem files, and return the landed records."""
-    layout.write_layout(unpack_drop(packed), target, by=["table", "date"], format="parquet")
+    layout.write_layout(unpack_drop(packed), target, by=["table", "date"], format="parquet", skip_empty=False)
     landed = packed.sparkSession.read.schema(
         f"{archives.RECORD_SCHEMA}, file string, `table` string, date string").parquet(target)
     tables.upsert_table(problem_files(landed, target), control_table, ["file_name"])

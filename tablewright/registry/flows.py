@@ -41,7 +41,7 @@ def flow_ledger_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MEMBER_SQL = """'ORD' || o_orderstatus || '.acme.' || case o_orderpriority when '1-URGENT' then 'all' when '2-HIGH' then 'change'
-    else 'misc' end || '.' || cast(cast(date_trunc('month', o_orderdate) as date) as varchar) || '_x.csv'"""
+    else 'misc' end || '.' || cast(cast(date_trunc('year', o_orderdate) as date) as varchar) || '_x.csv'"""
 
 
 @registry.add("flow_file_drop", f"""
