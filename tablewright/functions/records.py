@@ -12,35 +12,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MARK = "\u0001"
+_ABSENT = "\u0002"
 
 
-def _values(text: Column, keys: tuple[str, ...]) -> Column:
-    pattern = "(?s)^" + ", ".join(f"{re.escape(k)}=(.*?)" for k in keys) + "$"
-    marked = F.regexp_replace(text, F.lit(pattern), F.lit(_MARK.join(f"${i + 1}" for i in range(len(keys)))))
-    values = F.split(marked, _MARK)
-    return F.when(F.size(values) == len(keys), values)
+def _values(text: Column, keys: tuple[str, ...], absent: str | None = None) -> Column:
+    present = [k for k in keys if k != absent]
+    pattern = "(?s)^" + ", ".join(f"{re.escape(k)}=(.*?)" for k in present) + "$"
+    groups = [_ABSENT if k == absent else f"${present.index(k) + 1}" for k in keys]
+    # the mark in front tells a matched text (as many pieces as keys after it) from one left as it was (no piece)
+    return F.split(F.regexp_replace(text, F.lit(pattern), F.lit("".join(_MARK + g for g in groups))), _MARK)
 
 
 def ordered_values(text: Column, keys: tuple[str, ...], optional: str | None = None) -> Column:
-    """Array of the values in key order; NULL for text that does not follow the order.
-
-    A missing optional key leaves NULL at its position.
-    """
+    """The values of the record in key order, for value_at. A text without the optional key is read without it."""
     if optional is None:
         return _values(text, keys)
-    at = keys.index(optional)
-    without = _values(text, keys[:at] + keys[at + 1:])
-    padded = F.when(without.isNotNull(), F.concat(
-        F.slice(without, 1, at), F.array(F.lit(None).cast("string")), F.slice(without, at + 1, len(keys))))
-    return F.coalesce(_values(text, keys), padded)
+    without = F.transform(_values(text, keys, optional), lambda v: F.nullif(v, F.lit(_ABSENT)))
+    return F.when(F.contains(text, F.lit(f"{optional}=")), _values(text, keys)).otherwise(without)
+
+
+def without_null_words(values: Column) -> Column:
+    """The word null stands for NULL. Done on the array: one small expression instead of one per key."""
+    return F.transform(values, lambda v: F.nullif(v, F.lit("null")))
 
 
-def unbraced(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit("^[{]|[}]$"), F.lit(""))
+def value_at(values: Column, position: int) -> Column:
+    """Value of the key at the position; NULL for an absent key and for text that does not follow the key order."""
+    return F.get(values, F.lit(position + 1))
 
 
-def null_word(value: Column) -> Column:
-    return F.nullif(value, F.lit("null"))
+def unbraced(text: Column, opening: str = "{", closing: str = "}") -> Column:
+    """Text without the braces around it; the braces inside stay."""
+    inner = F.substring(text, F.lit(len(opening) + 1), F.length(text) - F.lit(len(opening) + len(closing)))
+    return F.when(F.startswith(text, F.lit(opening)) & F.endswith(text, F.lit(closing)), inner).otherwise(text)
 
 
 def tidy(text: Column) -> Column:

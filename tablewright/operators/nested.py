@@ -40,15 +40,16 @@ def parse_items(df: DataFrame, items: str = "items", invoice_id: str = "id") ->
     Every key is found at its place in the order, so an item's own type is not mixed up with the type inside
     one of its accounts.
     """
-    outside = F.regexp_replace(F.col(items), F.lit("^\\[[{]|[}]\\]$"), F.lit(""))
+    inside = records.unbraced(F.col(items), "[{", "}]")
     pieces = (df.where(F.col(items).isNotNull())
-              .select(F.col(invoice_id).alias("invoiceId"), "tenantId", F.explode(F.split(outside, "[}], [{]")).alias("item")))
-    valued = pieces.select("invoiceId", "tenantId", records.ordered_values(F.col("item"), ITEM_KEYS).alias("v"))
-    own = valued.select("invoiceId", "tenantId", *[
-        records.null_word(F.col("v")[i]).alias(k) for i, k in enumerate(ITEM_KEYS)])
+              .select(F.col(invoice_id).alias("invoiceId"), "tenantId", F.explode(F.split(inside, "[}], [{]")).alias("item")))
+    values = records.without_null_words(records.ordered_values(F.col("item"), ITEM_KEYS))
+    own = pieces.select("invoiceId", "tenantId", values.alias("v")).select(
+        "invoiceId", "tenantId", *[records.value_at(F.col("v"), i).alias(k) for i, k in enumerate(ITEM_KEYS)])
     inner = own.withColumns({
-        k: records.ordered_values(records.unbraced(F.col(k)), keys) for k, keys in ITEM_NESTED_KEYS.items()})
-    flat = {f"{k}_{sub}": records.null_word(F.col(k)[i])
+        k: records.without_null_words(records.ordered_values(records.unbraced(F.col(k)), keys))
+        for k, keys in ITEM_NESTED_KEYS.items()})
+    flat = {f"{k}_{sub}": records.value_at(F.col(k), i)
             for k, keys in ITEM_NESTED_KEYS.items() for i, sub in enumerate(keys)}
     return inner.withColumns(flat).select(*invoice_item_schema().fieldNames())
 
@@ -63,7 +64,8 @@ def deep_keys(df: DataFrame, column: str, parts: dict[str, tuple[str, ...]],
     cleaned = {f"__{part}": records.ordered_values(
         records.unbraced(records.tidy(F.col(column)[part])), keys, (optional or {}).get(part))
         for part, keys in parts.items()}
-    flat = {f"{column}_{part}_{k}": F.col(f"__{part}")[i] for part, keys in parts.items() for i, k in enumerate(keys)}
+    flat = {f"{column}_{part}_{k}": records.value_at(F.col(f"__{part}"), i)
+            for part, keys in parts.items() for i, k in enumerate(keys)}
     return df.withColumns(cleaned).withColumns(flat).drop(*cleaned)
 
 

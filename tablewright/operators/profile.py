@@ -1,12 +1,20 @@
-"""Column profiles. Every profile is one lazy plan with one row per column; nothing reaches the driver.
+"""Column profiles: lazy plans with one row per column; nothing reaches the driver.
 
-Numeric quantiles come from KLL sketches built in two steps: first per salt group, so that the sketches of
-many scan tasks are merged by many reducers, then over the few salt groups. The same first step carries the
-counts and moments, so a numeric profile reads its input once.
+Counts and moments of all columns are one plain aggregate, which Spark compiles as a whole.
+
+Distinct values are counted per column: group by the value, then count the groups. Each branch reads only its own
+column, so over columnar files all branches together read every column once, no row is replicated the way several
+distinct aggregates in one plan would, and a value that fills a third of the rows collapses before the shuffle.
+
+Quantiles are a pass of KLL sketches, because sketches in the first aggregate would take the compiled path away
+from everything else. They are built in two steps, first per salt group and then over the few groups, so that the
+sketches of many scan tasks are merged by many reducers instead of one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,94 +76,76 @@ def bool_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: list[str] | None = None, groups: int | None = None) -> DataFrame:
     """Nulls, Null%, Count, Mean, Stddev, Min, 25%, 50%, 75%, Max per numeric column."""
     names = columns or columns_of_kind(df, "numeric")
-    salt_groups = groups or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partial = [F.count("*").alias("rows")]
-    for i, c in enumerate(names):
-        x = _col(c).cast("double")
-        partial += [
-            F.count(_col(c)).alias(f"n{i}"),
-            F.avg(x).alias(f"mean{i}"),
-            F.var_pop(x).alias(f"var{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.max(x).alias(f"max{i}"),
-            F.kll_sketch_agg_double(x, F.lit(SKETCH_SIZE)).alias(f"sketch{i}"),
-        ]
-    first = (df.select(*[_col(c) for c in names])
-             .groupBy((F.spark_partition_id() % salt_groups).alias("salt")).agg(*partial))
-    final = [F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")]
-    for i in range(len(names)):
-        final += [
-            F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"),
-            # at most one small struct per salt group
-            F.collect_list(F.struct(
-                F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"), F.col(f"var{i}").alias("var"),
-            )).alias(f"parts{i}"),
-            F.min(f"min{i}").alias(f"min{i}"),
-            F.max(f"max{i}").alias(f"max{i}"),
-            F.kll_merge_agg_double(f"sketch{i}").alias(f"sketch{i}"),
-        ]
-    merged = first.agg(*final)
+    counted = df.select(*[_col(c) for c in names]).agg(
+        F.count("*").alias("rows"), *[a for i, c in enumerate(names) for a in _moments(i, c)])
+    rows = _one_row_each(counted, names, lambda i: {
+        **_nulls(F.col("rows"), F.col(f"n{i}")),
+        "Count": F.col(f"n{i}"),
+        "Mean": F.col(f"mean{i}"),
+        "Stddev": F.col(f"stddev{i}"),
+        "Min": F.col(f"min{i}"),
+        "Max": F.col(f"max{i}"),
+    })
+    return rows.join(quantiles(df, names, groups), "ColumnName").select(
+        "ColumnName", *[_col(c) for c in NUMERIC_COLUMNS])
 
-    def metrics(i: int) -> dict[str, Column]:
-        n = F.col(f"n{i}")
-        mean = _pooled_mean(F.col(f"parts{i}"), n)
-        points = F.when(n > 0, F.kll_sketch_get_quantile_double(
-            F.col(f"sketch{i}"), F.array(*[F.lit(q) for q in QUANTILES])))
-        return {
-            **_nulls(F.col("rows"), n),
-            "Count": n,
-            "Mean": mean,
-            "Stddev": _pooled_stddev(F.col(f"parts{i}"), n, mean),
-            "Min": F.col(f"min{i}"),
-            **{name: points[j] for j, name in enumerate(QUANTILE_NAMES)},
-            "Max": F.col(f"max{i}"),
-        }
 
-    return _one_row_each(merged, names, metrics)
+def _moments(i: int, name: str) -> list[Column]:
+    x = _col(name).cast("double")
+    return [F.count(_col(name)).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"stddev{i}"),
+            F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
 
 
-def _pooled_mean(parts: Column, n: Column) -> Column:
-    total = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + F.coalesce(p["n"] * p["mean"], F.lit(0.0)))
-    return F.try_divide(total, n)
+def quantiles(df: DataFrame, columns: list[str], groups: int | None = None) -> DataFrame:
+    """25%, 50% and 75% per numeric column; NULL for a column without values."""
+    salt_groups = groups or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketches = [F.kll_sketch_agg_double(_col(c).cast("double"), F.lit(SKETCH_SIZE)).alias(f"sketch{i}")
+                for i, c in enumerate(columns)]
+    merged = (df.select(*[_col(c) for c in columns])
+              .groupBy((F.spark_partition_id() % salt_groups).alias("salt")).agg(*sketches)
+              .agg(*[F.kll_merge_agg_double(f"sketch{i}").alias(f"sketch{i}") for i in range(len(columns))]))
 
+    def points(i: int) -> dict[str, Column]:
+        sketch = F.col(f"sketch{i}")
+        found = F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(
+            sketch, F.array(*[F.lit(q) for q in QUANTILES])))
+        return {name: found[j] for j, name in enumerate(QUANTILE_NAMES)}
 
-def _pooled_stddev(parts: Column, n: Column, mean: Column) -> Column:
-    squares = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + F.coalesce(
-        p["n"] * (p["var"] + (p["mean"] - mean) * (p["mean"] - mean)), F.lit(0.0)))
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))
+    return _one_row_each(merged, columns, points)
 
 
 def string_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Distinct (NULL counts as one value), Nulls, Null%, Count per string column."""
-    names = columns or columns_of_kind(df, "string")
-    return _one_row_each(_distinct_counts(df, names), names, lambda i: {
-        "Distinct": _distinct_with_null(i),
-        **_nulls(F.col("rows"), F.col(f"n{i}")),
-        "Count": F.col(f"n{i}"),
-    })
+    return distinct_counts(df, columns or columns_of_kind(df, "string")).select(
+        "ColumnName", "Distinct", *_null_columns(), F.col("values").alias("Count"))
 
 
 def timestamp_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    names = columns or columns_of_kind(df, "timestamp")
-    bounds = [f(_col(c)).alias(f"{f.__name__}{i}") for i, c in enumerate(names) for f in (F.min, F.max)]
-    return _one_row_each(_distinct_counts(df, names, bounds), names, lambda i: {
-        "Distinct": _distinct_with_null(i),
-        **_nulls(F.col("rows"), F.col(f"n{i}")),
-        "Count": F.col(f"n{i}"),
-        "Min": F.col(f"min{i}").cast("string"),
-        "Max": F.col(f"max{i}").cast("string"),
-    })
+    return distinct_counts(df, columns or columns_of_kind(df, "timestamp")).select(
+        "ColumnName", "Distinct", *_null_columns(), F.col("values").alias("Count"), "Min", "Max")
 
 
 def distinct_value_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """TotalRecords, TotalValues (without NULL) and DistinctCount (with NULL) of string and numeric columns."""
     names = columns or columns_of_kind(df, "string") + columns_of_kind(df, "numeric")
-    rows = _one_row_each(_distinct_counts(df, names), names, lambda i: {
-        "TotalRecords": F.col("rows"),
-        "TotalValues": F.col(f"n{i}"),
-        "DistinctCount": _distinct_with_null(i),
-    })
-    return rows.orderBy(F.col("DistinctCount").desc(), "ColumnName")
+    return distinct_counts(df, names).select(
+        "ColumnName", F.col("rows").alias("TotalRecords"), F.col("values").alias("TotalValues"),
+        F.col("Distinct").alias("DistinctCount"),
+    ).orderBy(F.col("DistinctCount").desc(), "ColumnName")
+
+
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """ColumnName, rows, values (not NULL), Distinct (NULL is a value), Min and Max as text."""
+    n = F.col("n")
+    return reduce(DataFrame.unionByName, [
+        df.select(_col(c).alias("value")).groupBy("value").agg(F.count("*").alias("n")).agg(
+            F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), n)), F.lit(0)).alias("values"),
+            F.count("*").alias("Distinct"),
+            F.min("value").cast("string").alias("Min"),
+            F.max("value").cast("string").alias("Max"),
+        ).withColumn("ColumnName", F.lit(c))
+        for c in columns])
 
 
 def approx_distinct_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -167,61 +157,62 @@ def approx_distinct_summary(df: DataFrame, columns: list[str] | None = None) ->
     return _one_row_each(df.select(*[_col(c) for c in names]).agg(*aggs), names, lambda i: {
         "TotalRecords": F.col("rows"),
         "TotalValues": F.col(f"n{i}"),
-        "DistinctCount": _distinct_with_null(i),
+        "DistinctCount": F.col(f"d{i}") + (F.col("rows") > F.col(f"n{i}")).cast("bigint"),
     })
 
 
 def value_frequencies(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """How often each value of each string column occurs; NULL is a value of its own."""
     names = columns or columns_of_kind(df, "string")
-    return (df.select(*[_col(c) for c in names])
-            .unpivot([], [_col(c) for c in names], "ColumnName", "ColumnValue")
-            .groupBy("ColumnName", "ColumnValue")
-            .agg(F.count("*").alias("DistinctCount")))
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(c).alias("ColumnName"), _col(c).alias("ColumnValue"))
+        .groupBy("ColumnName", "ColumnValue").agg(F.count("*").alias("DistinctCount"))
+        for c in names])
 
 
 def full_profile(df: DataFrame) -> DataFrame:
-    """Every profile on one shared layout, in two passes over the input: one row per profiled column.
-
-    The first pass holds every exact count, the second (only with numeric columns) the moments and quantiles.
-    """
-    flags, numbers = columns_of_kind(df, "bool"), columns_of_kind(df, "numeric")
-    texts, instants = columns_of_kind(df, "string"), columns_of_kind(df, "timestamp")
-    names = numbers + texts + instants + flags
-    kind_of = {**dict.fromkeys(numbers, "numeric"), **dict.fromkeys(texts, "string"),
-               **dict.fromkeys(instants, "timestamp"), **dict.fromkeys(flags, "bool")}
-    extra = []
+    """Every profile on one shared layout: one row per boolean, numeric, string or timestamp column."""
+    kind_of = {c: kind for kind in KINDS for c in columns_of_kind(df, kind)}
+    names = list(kind_of)
+    numbers = [c for c, kind in kind_of.items() if kind == "numeric"]
+    aggs = [F.count("*").alias("rows")]
     for i, c in enumerate(names):
-        if c in instants:
-            extra += [F.min(_col(c)).alias(f"min{i}"), F.max(_col(c)).alias(f"max{i}")]
-        if c in flags:
-            extra += [F.count_if(_col(c)).alias(f"t{i}"), F.count_if(~_col(c)).alias(f"f{i}")]
-    none = F.lit(None)
+        if kind_of[c] == "numeric":
+            aggs += _moments(i, c)
+        else:
+            aggs.append(F.count(_col(c)).alias(f"n{i}"))
+        if kind_of[c] == "bool":
+            aggs += [F.count_if(_col(c)).alias(f"t{i}"), F.count_if(~_col(c)).alias(f"f{i}")]
+        if kind_of[c] == "timestamp":
+            aggs += [F.min(_col(c)).alias(f"min{i}"), F.max(_col(c)).alias(f"max{i}")]
 
     def metrics(i: int) -> dict[str, Column]:
-        is_instant, is_flag = names[i] in instants, names[i] in flags
+        kind = kind_of[names[i]]
+
+        def only(column: str, *kinds: str) -> Column:
+            return F.col(f"{column}{i}") if kind in kinds else F.lit(None)
+
         return {
-            "Kind": F.lit(kind_of[names[i]]),
+            "Kind": F.lit(kind),
             "Count": F.col(f"n{i}"),
             **_nulls(F.col("rows"), F.col(f"n{i}")),
-            "Distinct": (none if is_flag else _distinct_with_null(i)).cast("bigint"),
-            "True": (F.col(f"t{i}") if is_flag else none).cast("bigint"),
-            "False": (F.col(f"f{i}") if is_flag else none).cast("bigint"),
-            "Min": (F.col(f"min{i}") if is_instant else none).cast("string"),
-            "Max": (F.col(f"max{i}") if is_instant else none).cast("string"),
+            "True": only("t", "bool").cast("bigint"),
+            "False": only("f", "bool").cast("bigint"),
+            "Mean": only("mean", "numeric").cast("double"),
+            "Stddev": only("stddev", "numeric").cast("double"),
+            "Min": only("min", "numeric", "timestamp").cast("string"),
+            "Max": only("max", "numeric", "timestamp").cast("string"),
         }
 
-    counts = _one_row_each(_distinct_counts(df, names, extra, skip=flags), names, metrics)
-    spread = ("Mean", "Stddev", *QUANTILE_NAMES)
-    if not numbers:
-        return counts.withColumns({c: none.cast("double") for c in spread})
-    moments = numeric_profile(df, numbers).select(
-        "ColumnName", *[_col(c) for c in spread],
-        *[F.col(c).cast("string").alias(f"{c}_number") for c in ("Min", "Max")])
-    return counts.join(moments, "ColumnName", "left").select(
-        *[_col(c) for c in counts.columns if c not in ("Min", "Max")],
-        *[F.coalesce(c, f"{c}_number").alias(c) for c in ("Min", "Max")],
-        *[_col(c) for c in spread])
+    result = _one_row_each(df.select(*[_col(c) for c in names]).agg(*aggs), names, metrics)
+    valued = [c for c in names if kind_of[c] != "bool"]
+    if valued:
+        result = result.join(distinct_counts(df, valued).select("ColumnName", "Distinct"), "ColumnName", "left")
+    if numbers:
+        result = result.join(quantiles(df, numbers), "ColumnName", "left")
+    missing = {c: F.lit(None).cast("bigint" if c == "Distinct" else "double")
+               for c in ("Distinct", *QUANTILE_NAMES) if c not in result.columns}
+    return result.withColumns(missing) if missing else result
 
 
 def with_source(df: DataFrame, database: str, table: str) -> DataFrame:
@@ -273,18 +264,8 @@ def _nulls(rows: Column, n: Column) -> dict[str, Column]:
     return {"Nulls": rows - n, "Null%": F.try_divide(F.lit(100) * (rows - n), rows).cast("decimal(5,2)")}
 
 
-def _distinct_counts(df: DataFrame, names: list[str], extra: list[Column] | None = None,
-                     skip: list[str] | None = None) -> DataFrame:
-    aggs = [F.count("*").alias("rows"), *(extra or [])]
-    for i, c in enumerate(names):
-        aggs.append(F.count(_col(c)).alias(f"n{i}"))
-        if c not in (skip or []):
-            aggs.append(F.count_distinct(_col(c)).alias(f"d{i}"))
-    return df.select(*[_col(c) for c in names]).agg(*aggs)
-
-
-def _distinct_with_null(i: int) -> Column:
-    return F.col(f"d{i}") + (F.col("rows") > F.col(f"n{i}")).cast("bigint")
+def _null_columns() -> list[Column]:
+    return [c.alias(k) for k, c in _nulls(F.col("rows"), F.col("values")).items()]
 
 
 def _one_row_each(aggregated: DataFrame, names: list[str], metrics) -> DataFrame:

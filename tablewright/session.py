@@ -12,6 +12,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Generated methods beyond this size are never compiled to machine code; wide projections do better split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Archives travel to Python as whole binary cells: bound a batch by bytes, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
