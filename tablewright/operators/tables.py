@@ -136,6 +136,8 @@ def compact(spark: SparkSession, name: str, where: Column | None = None) -> None
         swap_in(spark, name)
         return
     chosen = rows if where is None else rows.where(where)
+    if where is not None and len(chosen.inputFiles()) <= 1:
+        return  # the partitions asked for are in one piece already
     _replace_partitions(chosen, name, layout)
 
 

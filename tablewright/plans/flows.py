@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +35,18 @@ def store_profile(df: DataFrame, database: str, table: str, profile_db: str, as_
     frames = {name: make(df) for name, (kind, make) in makers.items() if profile.columns_of_kind(df, kind)}
     if profile.columns_of_kind(df, "string") or profile.columns_of_kind(df, "numeric"):
         frames["distinct_values_summary"] = profile.distinct_value_summary(df)
-    for name, frame in frames.items():
-        stamped = profile.with_source(frame, database, table).withColumn("__date", F.lit(as_of).cast("date"))
-        tables.append_partitioned(stamped, f"{profile_db}.{name}", PROFILE_PARTITIONS)
-        tables.compact(spark, f"{profile_db}.{name}", (F.col("__date") == F.lit(as_of).cast("date"))
-                       & (F.col("SourceDatabase") == database.lower()) & (F.col("SourceTable") == table.lower()))
+    day, keys = F.lit(as_of).cast("date"), {"SourceDatabase": database.lower(), "SourceTable": table.lower()}
+
+    def append(item: tuple[str, DataFrame]) -> None:
+        stamped = profile.with_source(item[1], database, table).withColumn("__date", day)
+        tables.append_partitioned(stamped, f"{profile_db}.{item[0]}", PROFILE_PARTITIONS)
+
+    tables.ensure_database(spark, profile_db)
+    with ThreadPoolExecutor(len(frames) or 1) as pool:
+        list(pool.map(append, frames.items()))
+    run = (F.col("__date") == day) & reduce(lambda a, b: a & b, [F.col(k) == v for k, v in keys.items()])
+    for name in frames:
+        tables.compact(spark, f"{profile_db}.{name}", run)
     return [f"{profile_db}.{name}" for name in frames]
 
 
