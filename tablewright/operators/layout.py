@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions import names
+from tablewright.sources.delimited import TEXT_OPTIONS
 
 
 def write_layout(df: DataFrame, path: str, layers: dict[str, object] | None = None, by: list[str] | None = None,
@@ -25,7 +26,7 @@ def write_layout(df: DataFrame, path: str, layers: dict[str, object] | None = No
     placed = df.withColumns({k: F.lit(v) for k, v in fixed.items()}) if fixed else df
     writer = (placed.hint("rebalance", *order) if by else placed).write.mode("ignore" if if_absent else "overwrite")
     if format == "csv":
-        writer = writer.option("header", "true").option("sep", sep).option("escape", '"')
+        writer = writer.options(**TEXT_OPTIONS).option("sep", sep)
     writer.partitionBy(*order).format(format).save(path)
     return True
 

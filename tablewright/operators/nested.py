@@ -42,7 +42,7 @@ def parse_items(df: DataFrame, items: str = "items", invoice_id: str = "id") ->
     """
     inside = records.unbraced(F.col(items), "[{", "}]")
     pieces = (df.where(F.col(items).isNotNull())
-              .select(F.col(invoice_id).alias("invoiceId"), "tenantId", F.explode(F.split(inside, "[}], [{]")).alias("item")))
+              .select(F.col(invoice_id).alias("invoiceId"), "tenantId", F.explode(F.split(inside, "\\}, \\{")).alias("item")))
     values = records.without_null_words(records.ordered_values(F.col("item"), ITEM_KEYS))
     own = pieces.select("invoiceId", "tenantId", values.alias("v")).select(
         "invoiceId", "tenantId", *[records.value_at(F.col("v"), i).alias(k) for i, k in enumerate(ITEM_KEYS)])

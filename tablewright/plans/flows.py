@@ -72,8 +72,7 @@ def mixed_ledger_frame(spark: SparkSession, folder: str, kind: str, types: dict[
     return columns.load_date(rows, read_time)
 
 
-def load_ledger(spark: SparkSession, folder: str, kind: str, schema: T.StructType, table: str, as_of: date,
-                **metadata: object) -> None:
+def load_ledger(spark: SparkSession, folder: str, kind: str, schema: T.StructType, table: str) -> None:
     tables.create_table(ledger_frame(spark, folder, kind, schema), table)
 
 

@@ -34,7 +34,7 @@ def flow_ledger_load(spark: SparkSession, sf: str) -> DataFrame:
         rows.where(F.col("STATE") == state).write.option("header", "true").option("sep", "|").csv(f"{folder}/{name}")
     result = None
     for kind, pattern in (("fl", "*all.*"), ("upd", "*change.*_upd_*")):
-        flows.load_ledger(spark, f"{folder}/{pattern}", "all", rows.schema, f"{database}.glentry_{kind}", AS_OF)
+        flows.load_ledger(spark, f"{folder}/{pattern}", "all", rows.schema, f"{database}.glentry_{kind}")
         part = spark.table(f"{database}.glentry_{kind}").withColumn("__Date", F.col("__Date").cast("string"))
         result = part if result is None else result.unionByName(part)
     return result

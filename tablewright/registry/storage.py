@@ -22,7 +22,7 @@ PART_SQL = "select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice fro
 
 def write_csv(df: DataFrame, sep: str, label: str = "csv", **options: str) -> str:
     path = work_folder(df.sparkSession, label)
-    df.write.option("header", "true").option("sep", sep).options(**options).csv(path)
+    delimited.write_delimited(df, path, sep, **options)
     return path
 
 
@@ -55,8 +55,8 @@ def scan_csv_comma(spark: SparkSession, sf: str) -> DataFrame:
 def scan_csv_backslash(spark: SparkSession, sf: str) -> DataFrame:
     """Quoted names that end in a backslash, as some exports write them."""
     named = load(spark, sf, "supplier").select("s_suppkey", F.concat("s_name", F.lit("\\")).alias("s_name"), "s_acctbal")
-    path = write_csv(named, ",", quoteAll="true", escape='"')
-    return delimited.read_backslash(spark, path, named.schema)
+    path = write_csv(named, ",", quoteAll="true")
+    return delimited.read_delimited(spark, path, named.schema, ",")
 
 
 @registry.add("scan_csv_drop_union", """
@@ -65,10 +65,8 @@ def scan_csv_backslash(spark: SparkSession, sf: str) -> DataFrame:
 def scan_csv_drop_union(spark: SparkSession, sf: str) -> DataFrame:
     """Two kinds of files with different headers in one folder tree."""
     part, folder = load(spark, sf, "part"), work_folder(spark, "mixed")
-    part.where("p_size <= 25").select("p_partkey", "p_name", "p_brand", "p_size").write.option("header", "true").option(
-        "sep", "|").csv(f"{folder}/small")
-    part.where("p_size > 25").select("p_size", "p_type", "p_name", "p_partkey").write.option("header", "true").option(
-        "sep", "|").csv(f"{folder}/large")
+    delimited.write_delimited(part.where("p_size <= 25").select("p_partkey", "p_name", "p_brand", "p_size"), f"{folder}/small")
+    delimited.write_delimited(part.where("p_size > 25").select("p_size", "p_type", "p_name", "p_partkey"), f"{folder}/large")
     paths = [f.path for f in files.inventory(spark, folder, glob="*.csv").select("path").collect()]
     mixed = delimited.read_mixed(spark, paths, {"p_partkey": "bigint", "p_size": "int"}, ["p_name"])
     return mixed.select("p_partkey", "p_brand", "p_type", "p_size")

@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Quotes are doubled, as in most exports, so a backslash is plain data wherever it stands.
+TEXT_OPTIONS = {"header": "true", "escape": '"'}
+
+
 def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = "|",
                    **options: str) -> DataFrame:
     """Many files in one read. A header that differs from the schema raises instead of shifting columns."""
-    return (spark.read.schema(schema).option("sep", sep).option("header", "true")
+    return (spark.read.schema(schema).option("sep", sep).options(**TEXT_OPTIONS)
             .option("enforceSchema", "false").options(**options).csv(paths))
 
 
-def read_backslash(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = ",") -> DataFrame:
-    """Files whose quoted fields may end in a backslash: it is data here, not an escape."""
-    return read_delimited(spark, paths, schema, sep, escape='"')
+def write_delimited(df: DataFrame, path: str, sep: str = "|", **options: str) -> None:
+    df.write.option("sep", sep).options(**TEXT_OPTIONS).options(**options).csv(path)
 
 
 def headers(spark: SparkSession, paths: list[str], sep: str, threads: int = 16) -> dict[tuple[str, ...], list[str]]:
@@ -66,4 +69,4 @@ def read_expected(spark: SparkSession, path: str, header: list[str], schema: T.S
 def redelimit(spark: SparkSession, source: str, target: str, schema: T.StructType, old: str = ",",
               new: str = "|") -> None:
     """Write the records again with another delimiter, to a path of their own."""
-    read_delimited(spark, source, schema, old).write.option("header", "true").option("sep", new).csv(target)
+    write_delimited(read_delimited(spark, source, schema, old), target, new)

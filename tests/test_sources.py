@@ -24,7 +24,7 @@ def put(path, text):
 def test_backslash_at_the_end_of_a_quoted_field(spark, tmp_path):
     put(tmp_path / "a.csv", 'name,n\n"C:\\dir\\",1\n"say ""hi""",2\nplain\\,3\n')
     schema = T.StructType.fromDDL("name string, n int")
-    rows = [tuple(r) for r in delimited.read_backslash(spark, str(tmp_path), schema).orderBy("n").collect()]
+    rows = [tuple(r) for r in delimited.read_delimited(spark, str(tmp_path), schema, ",").orderBy("n").collect()]
     assert rows == [("C:\\dir\\", 1), ('say "hi"', 2), ("plain\\", 3)]
 
 
