@@ -66,8 +66,9 @@ def overwrite_table(df: DataFrame | None, name: str, keep_previous: bool = False
 
 def drop_column(spark: SparkSession, name: str, column: str, keep_previous: bool = False) -> None:
     recover(spark, name)
-    _save(spark.table(name).drop(column), f"{name}__new",
-          [c for c in partition_columns(spark, name) if c != column])
+    layout = partition_columns(spark, name)
+    # files hold one partition each, so the rows need not move as long as the partitions stay the same
+    _save(spark.table(name).drop(column), f"{name}__new", [c for c in layout if c != column], column in layout)
     swap_in(spark, name, keep_previous)
 
 
@@ -76,8 +77,8 @@ def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | No
                  partition_by: list[str] | None = None, as_of: date | None = None, **metadata: object) -> None:
     """Merge rows into the table, or create it from them when it is missing.
 
-    Keys default to the required fields of the declared schema. When all partition columns are keys, only the
-    partitions the source touches are read and rewritten.
+    Keys default to the required fields of the declared schema. A partitioned table whose partition columns are not
+    updated has only the touched partitions rewritten: those the source names, and those that hold a matching row.
     """
     if source is None:
         return
@@ -88,32 +89,35 @@ def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | No
         create_table(rows, name, partition_by)
         return
     keys = merge.as_list(keys) or merge.infer_keys(declared)
+    updates = merge.infer_updates(rows.columns, keys) if update == merge.ALL else merge.as_list(update)
     merge.check_unique(rows, keys)
-    target = spark.table(name)
-    layout = partition_columns(spark, name)
-    if layout and set(layout) <= set(keys):
-        pruned = target.where(touched_partitions(rows, layout)) if _listable(rows, layout) else _same_partitions(
-            target, rows, layout)
-        merged = merge.upsert(pruned, rows, keys, update, check=False)
-        _replace_partitions(merged, name, layout)
+    target, layout = spark.table(name), partition_columns(spark, name)
+    if layout and not set(layout) & set(updates):
+        part = in_partitions(target, touched_partitions(target, rows, keys, layout), layout)
+        _replace_partitions(merge.upsert(part, rows, keys, updates, check=False), name, layout)
         return
-    _save(merge.upsert(target, rows, keys, update, check=False), f"{name}__new", layout)
+    _save(merge.upsert(target, rows, keys, updates, check=False), f"{name}__new", layout)
     swap_in(spark, name)
 
 
-def touched_partitions(rows: DataFrame, layout: list[str]) -> Column:
-    values = rows.select(*layout).distinct().collect()  # at most LISTED_PARTITIONS rows, see _listable
-    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in layout]) for v in values]
-    return reduce(lambda a, b: a | b, same, F.lit(False))
-
-
-def _same_partitions(target: DataFrame, rows: DataFrame, layout: list[str]) -> DataFrame:
-    touched = rows.select(*[F.col(c).alias(f"__{c}") for c in layout]).distinct()
-    return target.join(touched, [target[c].eqNullSafe(touched[f"__{c}"]) for c in layout], "left_semi")
+def touched_partitions(target: DataFrame, rows: DataFrame, keys: list[str], layout: list[str]) -> DataFrame:
+    """Partition values a merge has to rewrite. Only keys and partition columns of the target are read for it."""
+    named = rows.select(*layout)
+    if not set(layout) <= set(keys):
+        wanted = rows.select(*[F.col(k).alias(f"__{k}") for k in keys])
+        named = named.unionByName(target.select(*dict.fromkeys([*layout, *keys])).join(
+            wanted, [F.col(k) == F.col(f"__{k}") for k in keys], "left_semi").select(*layout))
+    return named.distinct()
 
 
-def _listable(rows: DataFrame, layout: list[str]) -> bool:
-    return rows.select(*layout).distinct().limit(LISTED_PARTITIONS + 1).count() <= LISTED_PARTITIONS
+def in_partitions(target: DataFrame, touched: DataFrame, layout: list[str]) -> DataFrame:
+    """Rows of the touched partitions: by a filter on their values while these are few, else by a semi join."""
+    values = touched.limit(LISTED_PARTITIONS + 1).collect()
+    if len(values) > LISTED_PARTITIONS:
+        wanted = touched.select(*[F.col(c).alias(f"__{c}") for c in layout])
+        return target.join(wanted, [target[c].eqNullSafe(wanted[f"__{c}"]) for c in layout], "left_semi")
+    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in layout]) for v in values]
+    return target.where(reduce(lambda a, b: a | b, same, F.lit(False)))
 
 
 def append_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> None:
@@ -182,8 +186,8 @@ def recover(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE {name}__new")
 
 
-def _save(df: DataFrame, name: str, partition_by: list[str] | None) -> None:
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
+def _save(df: DataFrame, name: str, partition_by: list[str] | None, rebalance: bool = True) -> None:
+    writer = (df.hint("rebalance", *partition_by) if partition_by and rebalance else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)

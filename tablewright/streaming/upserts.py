@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators import tables
+from tablewright.operators import merge, tables
 from tablewright.streaming.ingest import finish
 
 
@@ -19,7 +19,7 @@ def latest_per_key(batch: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table: str, keys: list[str],
                   checkpoint: str, order: str | None = None, partition_by: list[str] | None = None,
-                  format: str = "parquet", files_per_batch: int = 1000, timeout: int = 3600) -> None:
+                  update: str | list[str] | None = merge.ALL, format: str = "parquet", files_per_batch: int = 1000, timeout: int = 3600) -> None:
     """Merge the files not seen before into the table, batch by batch in order of arrival.
 
     With `order`, several changes of one key inside a batch collapse to the last one.
@@ -27,7 +27,7 @@ def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table:
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, keys, order) if order else batch
-        tables.upsert_table(rows, table, keys, partition_by=partition_by)
+        tables.upsert_table(rows, table, keys, update, partition_by=partition_by)
 
     run = (spark.readStream.format(format).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(source)
            .writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

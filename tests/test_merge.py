@@ -100,6 +100,27 @@ def test_partitioned_table_rewrites_only_touched_partitions(spark, database, mon
     assert {f for f in spark.table(name).where("g = 'a'").inputFiles()} == before
 
 
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_partition_column_outside_the_key(spark, database, monkeypatch, listed):
+    monkeypatch.setattr(tables, "LISTED_PARTITIONS", listed)
+    name = f"{database}.t"
+    target = [(1, "a", 1), (2, "b", 2), (3, None, 3), (4, "c", 4), (None, "b", 9)]
+    tables.upsert_table(frame(spark, target), name, "k", partition_by=["g"])
+    before = set(spark.table(name).where("g = 'c'").inputFiles())
+    source = [(2, "a", 20), (3, "a", 30), (5, "d", 5), (None, "a", 7)]  # keys found in other partitions than named
+    tables.upsert_table(frame(spark, source), name, "k", "v")
+    assert got(spark.table(name).select("k", "g", "v")) == brute(target, source, ["k"], ["v"])
+    assert set(spark.table(name).where("g = 'c'").inputFiles()) == before
+
+
+def test_a_row_may_move_to_another_partition(spark, database):
+    name = f"{database}.t"
+    target = [(1, "a", 1), (2, "b", 2)]
+    tables.upsert_table(frame(spark, target), name, "k", partition_by=["g"])
+    tables.upsert_table(frame(spark, [(1, "z", 10)]), name, "k")
+    assert got(spark.table(name).select("k", "g", "v")) == [(1, "z", 10), (2, "b", 2)]
+
+
 def test_small_source_moves_no_target_row(spark, folder):
     path = folder()
     spark.range(100_000).selectExpr("id as k", "'x' as g", "1 as v").write.parquet(path)
