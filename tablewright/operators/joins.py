@@ -19,8 +19,12 @@ def pair_accounts(rows: DataFrame, accounts: DataFrame, key: str) -> DataFrame:
 
 
 def not_present(source: DataFrame, present: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of the source whose key is not there yet."""
-    return source.join(present.select(*on).distinct(), on, "left_anti")
+    """Rows of the source whose key is not there yet.
+
+    What is present holds a key once, as an inventory does, so it joins as it is: AQE can then split a source key
+    that fills much of the input, which it cannot when an aggregate stands in between.
+    """
+    return source.join(present.select(*on), on, "left_anti")
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

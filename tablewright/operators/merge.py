@@ -58,12 +58,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], update:
 
 
 def inserts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key the target does not hold."""
+    """Source rows whose key the target does not hold. Rows with a NULL key go around the join, not through one task."""
+    keyed = source.where(_present(keys))
     held = target.select(*keys)
     if is_small(source):
         # the semi join keeps target keys from being shuffled: only the few that match go on
-        held = held.join(source.select(*keys), keys, "left_semi")
-    return source.join(held.distinct(), keys, "left_anti")
+        held = held.join(keyed.select(*keys), keys, "left_semi")
+    new = keyed.join(held.distinct(), keys, "left_anti").select(*source.columns)
+    return new.unionByName(source.where(~_present(keys)))
 
 
 def _updated(target: DataFrame, source: DataFrame, keys: list[str], updates: list[str]) -> DataFrame:
