@@ -79,6 +79,7 @@ def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | No
 
     Keys default to the required fields of the declared schema. A partitioned table whose partition columns are not
     updated has only the touched partitions rewritten: those the source names, and those that hold a matching row.
+    The source is written out once first, so its plan runs once however often the merge reads it.
     """
     if source is None:
         return
@@ -90,6 +91,17 @@ def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | No
         return
     keys = merge.as_list(keys) or merge.infer_keys(declared)
     updates = merge.infer_updates(rows.columns, keys) if update == merge.ALL else merge.as_list(update)
+    changes = f"{name}__changes"
+    _save(rows, changes, None)
+    try:
+        _merge_into(name, spark.table(changes), keys, updates)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {changes}")
+
+
+def _merge_into(name: str, rows: DataFrame, keys: list[str], updates: list[str]) -> None:
+    """Merge rows of a stored table: they are read several times, always the same, and their size is known."""
+    spark = rows.sparkSession
     merge.check_unique(rows, keys)
     target, layout = spark.table(name), partition_columns(spark, name)
     if layout and not set(layout) & set(updates):
