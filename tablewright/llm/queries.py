@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, quality, secrets, urls
+from tablewright.llm import contamination, lines, quality, secrets, urls
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -30,3 +30,8 @@ def op3_secret_scans(spark, sf):
 @registry.add("op2_url_filters")
 def op2_url_filters(spark, sf):
     return urls.filtered(load(spark, sf, "pages"))
+
+
+@registry.add("op4_line_dedup", lines.SQL)
+def op4_line_dedup(spark, sf):
+    return lines.deduplicate(load(spark, sf, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
