@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_texts, raw_texts
 
-#: Rows on which cost and selectivity are estimated.
-SAMPLE_ROWS = 2000
+#: Rows on which cost and selectivity are estimated, and the most text in one: the sample reaches the driver.
+SAMPLE_ROWS, SAMPLE_BYTES = 500, 64 << 10
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
 UPPER = bytes(range(65, 91))
@@ -105,24 +105,15 @@ RULES = {
 
 
 def rule_order(docs: DataFrame, text: str = "text", rules: dict = RULES, sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by rejections per cost, as estimated on at most `sample_rows` rows."""
-
-    def estimate(batch):
-        spent, rejected = Counter(), Counter()
-        for raw in raw_texts(batch):
-            for name, rule in rules.items():
-                began = time.perf_counter_ns()
-                verdict = rule(Measures(raw))
-                spent[name] += time.perf_counter_ns() - began
-                rejected[name] += bool(verdict)
-        yield pa.RecordBatch.from_pydict({"rule": list(rules), "spent": [float(spent[r]) for r in rules],
-                                          "rejected": [float(rejected[r]) for r in rules]})
-
-    sample = docs.select(F.col(text).alias("text")).limit(sample_rows)
-    found = (map_texts(sample, estimate, "rule string, spent double, rejected double")
-             .groupBy("rule").agg(F.sum("spent").alias("spent"), F.sum("rejected").alias("rejected")).collect())
-    rate = {r["rule"]: r["rejected"] / max(r["spent"], 1.0) for r in found}
-    return sorted(rules, key=lambda r: (-rate.get(r, 0.0), list(rules).index(r)))
+    """Rule names by rejections per cost, as estimated on `sample_rows` rows of at most SAMPLE_BYTES each."""
+    sample = docs.select(F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES).take(sample_rows)
+    spent, rejected = Counter(), Counter()
+    for row in sample:
+        for name, rule in rules.items():
+            began = time.perf_counter_ns()
+            rejected[name] += bool(rule(Measures(row["text"].encode())))
+            spent[name] += time.perf_counter_ns() - began
+    return sorted(rules, key=lambda r: (-rejected[r] / max(spent[r], 1), list(rules).index(r)))
 
 
 def cascade(measures: Measures, order: list[str], rules: dict = RULES) -> bool:

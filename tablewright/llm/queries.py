@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, lines, quality, secrets, urls
+from tablewright.llm import contamination, lines, quality, secrets, tokens, urls
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -35,3 +36,8 @@ def op2_url_filters(spark, sf):
 @registry.add("op4_line_dedup", lines.SQL)
 def op4_line_dedup(spark, sf):
     return lines.deduplicate(load(spark, sf, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@registry.add("op6_token_output")
+def op6_token_output(spark, sf):
+    return tokens.round_trip(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
