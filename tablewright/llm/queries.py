@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, lines, quality, secrets, tokens, urls
+from tablewright.llm import contamination, lines, near, quality, secrets, tokens, urls
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -41,3 +41,8 @@ def op4_line_dedup(spark, sf):
 @registry.add("op6_token_output")
 def op6_token_output(spark, sf):
     return tokens.round_trip(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@registry.add("op10_ngram_join")
+def op10_ngram_join(spark, sf):
+    return near.joined(load(spark, sf, "documents"))
