@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, lines, near, quality, secrets, tokens, urls
+from tablewright.llm import contamination, lines, near, quality, repeats, secrets, tokens, urls
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -46,3 +46,8 @@ def op6_token_output(spark, sf):
 @registry.add("op10_ngram_join")
 def op10_ngram_join(spark, sf):
     return near.joined(load(spark, sf, "documents"))
+
+
+@registry.add("op5_repeated_strings")
+def op5_repeated_strings(spark, sf):
+    return repeats.without_repeats(load(spark, sf, "documents")).drop("kept")
