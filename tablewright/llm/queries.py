@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, lines, near, quality, repeats, secrets, tokens, urls
+from tablewright.llm import contamination, lines, near, quality, repeats, secrets, tokens, toxicity, urls
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -51,3 +51,8 @@ def op10_ngram_join(spark, sf):
 @registry.add("op5_repeated_strings")
 def op5_repeated_strings(spark, sf):
     return repeats.without_repeats(load(spark, sf, "documents")).drop("kept")
+
+
+@registry.add("op1_toxicity")
+def op1_toxicity(spark, sf):
+    return toxicity.scored(load(spark, sf, "documents"), load(spark, sf, "labels"))
