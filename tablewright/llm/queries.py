@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, lines, near, quality, repeats, secrets, tokens, toxicity, urls
+from tablewright.llm import contamination, lines, mixing, near, quality, repeats, secrets, tokens, toxicity, urls
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -56,3 +56,8 @@ def op5_repeated_strings(spark, sf):
 @registry.add("op1_toxicity")
 def op1_toxicity(spark, sf):
     return toxicity.scored(load(spark, sf, "documents"), load(spark, sf, "labels"))
+
+
+@registry.add("op8_source_mixing", mixing.SQL)
+def op8_source_mixing(spark, sf):
+    return mixing.judged(load(spark, sf, "documents"))
