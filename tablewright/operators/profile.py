@@ -1,4 +1,4 @@
-"""Column profiles: lazy plans with one row per column; nothing reaches the driver.
+"""Column profiles: one row per column. Only the bounds of quantiles reach the driver; all else is one lazy plan.
 
 Counts and moments of all columns are one plain aggregate, which Spark compiles as a whole.
 
@@ -6,21 +6,24 @@ Distinct values are counted per column: group by the value, then count the group
 column, so over columnar files all branches together read every column once, no row is replicated the way several
 distinct aggregates in one plan would, and a value that fills a third of the rows collapses before the shuffle.
 
-Quantiles are a pass of KLL sketches, because sketches in the first aggregate would take the compiled path away
-from everything else. They are built in two steps, first per salt group and then over the few groups, so that the
-sketches of many scan tasks are merged by many reducers instead of one.
+Quantiles are exact at any size: small sketches, merged in two steps, propose brackets, and only the values in a
+bracket that exact counts have confirmed are sorted.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest sketch Spark offers: a rank error near 1e-4, and exact for inputs that fit into it.
-SKETCH_SIZE = 65535
+# Sketches only propose brackets: their rank error stays well inside the margin, and exact counts check them.
+SKETCH_SIZE, SKETCH_MARGIN = 1000, 0.015
+# Values that one task sorts at the end, and rounds of narrowing; 30 brackets of 3% each reach it from any size.
+SORTED_VALUES, MOST_ROUNDS = 200_000, 30
 QUANTILES = (0.25, 0.5, 0.75)
 QUANTILE_NAMES = ("25%", "50%", "75%")
 
@@ -97,21 +100,75 @@ def _moments(i: int, name: str) -> list[Column]:
 
 
 def quantiles(df: DataFrame, columns: list[str], groups: int | None = None) -> DataFrame:
-    """25%, 50% and 75% per numeric column; NULL for a column without values."""
-    salt_groups = groups or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketches = [F.kll_sketch_agg_double(_col(c).cast("double"), F.lit(SKETCH_SIZE)).alias(f"sketch{i}")
-                for i, c in enumerate(columns)]
-    merged = (df.select(*[_col(c) for c in columns])
-              .groupBy((F.spark_partition_id() % salt_groups).alias("salt")).agg(*sketches)
-              .agg(*[F.kll_merge_agg_double(f"sketch{i}").alias(f"sketch{i}") for i in range(len(columns))]))
-
-    def points(i: int) -> dict[str, Column]:
-        sketch = F.col(f"sketch{i}")
-        found = F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(
-            sketch, F.array(*[F.lit(q) for q in QUANTILES])))
-        return {name: found[j] for j, name in enumerate(QUANTILE_NAMES)}
-
-    return _one_row_each(merged, columns, points)
+    """Exact 25%, 50% and 75% per numeric column: the smallest value that such a share of the values does not exceed.
+
+    NULL for a column without values; NaN is the largest value. A sketch proposes a bracket around each quantile, exact
+    counts confirm or refuse it, and the bracket is narrowed until its values are few enough to be sorted by one task.
+    Only bounds and counts reach the driver, a few numbers per column.
+    """
+    narrowed = _brackets(df, columns, groups)
+    wanted = [b for b in narrowed if b.need]
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "ColumnName string")
+    if not wanted:
+        return names.select("ColumnName", *[F.lit(None).cast("double").alias(q) for q in QUANTILE_NAMES])
+    held = F.array_compact(F.array(*[F.when(b.inside(), F.struct(F.lit(k).alias("k"), b.value().alias("x"))) for k, b in enumerate(wanted)]))
+    counted = (df.select(F.explode(held).alias("h")).select("h.k", "h.x").groupBy("k", "x").agg(F.count("*").alias("n"))
+               .withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("x"))))
+    need = F.element_at(F.array(*[F.lit(b.need) for b in wanted]), F.col("k") + 1)
+    place = F.struct(*[F.element_at(F.array(*[F.lit(getattr(b, a)) for b in wanted]), F.col("k") + 1).alias(a) for a in ("column", "share")])
+    found = counted.where((F.col("upto") >= need) & (F.col("upto") - F.col("n") < need)).select(place.alias("p"), "x")
+    wide = found.groupBy(F.col("p.column").alias("ColumnName")).agg(*[
+        F.max(F.when(F.col("p.share") == share, F.col("x"))).alias(name) for share, name in zip(QUANTILES, QUANTILE_NAMES)])
+    return names.join(F.broadcast(wide), "ColumnName", "left")
+
+
+@dataclass
+class _Bracket:
+    """Bounds (None: open) around one quantile of one column, and the place it has among the values inside."""
+
+    column: str
+    share: float
+    need: int
+    held: int
+    low: float | None = None
+    high: float | None = None
+
+    def value(self) -> Column:
+        return _col(self.column).cast("double")
+
+    def inside(self) -> Column:
+        x = self.value()
+        bounds = [x.isNotNull()] + ([x >= self.low] if self.low is not None else []) + ([x <= self.high] if self.high is not None else [])
+        return reduce(lambda a, b: a & b, bounds)
+
+
+def _brackets(df: DataFrame, columns: list[str], groups: int | None) -> list[_Bracket]:
+    counts = df.agg(*[F.count(_col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    found = [_Bracket(c, share, -(-counts[i] * round(100 * share) // 100), counts[i]) for i, c in enumerate(columns) for share in QUANTILES]
+    salts = groups or max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    for _ in range(MOST_ROUNDS):
+        wide = [b for b in found if b.held > SORTED_VALUES and (b.low is None or b.low != b.high)]
+        if not wide:
+            break
+        finite = [F.when(b.inside() & ~F.isnan(b.value()), b.value()) for b in wide]
+        sketches = (df.groupBy((F.spark_partition_id() % salts).alias("salt"))
+                    .agg(*[F.kll_sketch_agg_double(x, F.lit(SKETCH_SIZE)).alias(f"s{k}") for k, x in enumerate(finite)])
+                    .agg(*[F.kll_merge_agg_double(f"s{k}").alias(f"s{k}") for k in range(len(wide))]))
+
+        def bound(k: int, share: float) -> Column:
+            sketch = F.col(f"s{k}")
+            return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(min(1.0, max(0.0, share)))))
+
+        at = sketches.select(*[bound(k, b.need / b.held + side * SKETCH_MARGIN).alias(f"{name}{k}")
+                               for k, b in enumerate(wide) for side, name in ((-1, "low"), (1, "high"))]).first()
+        tried = [(b, at[f"low{k}"], at[f"high{k}"]) for k, b in enumerate(wide)]
+        checks = df.agg(*[a for k, (b, low, high) in enumerate(tried) for a in (
+            F.count_if(b.inside() & (b.value() < F.lit(low))).alias(f"below{k}"), F.count_if(b.inside() & (b.value() <= F.lit(high))).alias(f"upto{k}"))]).first()
+        for k, (b, low, high) in enumerate(tried):
+            below, upto = checks[f"below{k}"], checks[f"upto{k}"]
+            if low is not None and below < b.need <= upto:
+                b.need, b.held, b.low, b.high = b.need - below, upto - below, low, high
+    return found
 
 
 def string_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

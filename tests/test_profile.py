@@ -58,11 +58,19 @@ def test_numeric_profile_over_many_partitions_matches_exact_quantiles(spark):
     assert math.isclose(found["Mean"], 9999.5)
 
 
-def test_large_input_keeps_the_rank_error(spark):
-    n = 1_000_000
-    found = rows(profile.quantiles(spark.range(0, n, numPartitions=8).toDF("v"), ["v"]))["v"]
-    for name, share in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
-        assert abs(found[name] / n - share) < 1e-3
+def test_quantiles_of_a_large_input_are_exact(spark):
+    n = 1_000_003
+    df = spark.range(0, n, numPartitions=8).select((F.col("id") * 7919 % n).alias("v"), F.lit(7).alias("same"), F.lit(None).cast("int").alias("none"))
+    found = rows(profile.quantiles(df, ["v", "same", "none"]))
+    for name, percent in (("25%", 25), ("50%", 50), ("75%", 75)):
+        assert found["v"][name] == -(-n * percent // 100) - 1
+        assert found["same"][name] == 7.0 and found["none"][name] is None
+
+
+def test_quantiles_hold_nan_and_open_ends(spark):
+    df = spark.sql("select if(id % 2 = 0, double('NaN'), if(id % 3 = 0, double('-Infinity'), double(id))) as v from range(600000)")
+    found = rows(profile.quantiles(df, ["v"]))["v"]
+    assert math.isnan(found["75%"]) and found["25%"] == df.where("not isnan(v)").agg(F.sort_array(F.collect_list("v"))[149_999]).first()[0]
 
 
 def test_string_profile_counts_null_as_a_value(spark):
