@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,10 @@ from tablewright.sources.delimited import TEXT_OPTIONS
 
 def write_layout(df: DataFrame, path: str, layers: dict[str, object] | None = None, by: list[str] | None = None,
                  format: str = "csv", if_absent: bool = False, sep: str = ",", skip_empty: bool = True) -> bool:
-    """Write under k1=v1/k2=v2/, fixed layers first, then columns, in the order given. An empty frame is skipped.
+    """Write under k1=v1/k2=v2/, fixed layers first, then columns. True when something was written.
+
+    Only the folders that the rows belong to are replaced; every other folder below path stays as it is. With
+    if_absent, folders that hold files already keep them and get no rows. An empty frame is skipped.
 
     The check for rows starts the frame's plan; turn skip_empty off where that plan is dear.
 
@@ -21,16 +26,45 @@ def write_layout(df: DataFrame, path: str, layers: dict[str, object] | None = No
     """
     if skip_empty and df.isEmpty():
         return False
-    fixed = layers or {}
-    order = [*fixed, *(by or [])]
-    placed = df.withColumns({k: F.lit(v) for k, v in fixed.items()}) if fixed else df
-    writer = (placed.hint("rebalance", *order) if by else placed).write.mode("ignore" if if_absent else "overwrite")
+    target = "/".join([path.rstrip("/"), *(f"{k}={_folder_text(v)}" for k, v in (layers or {}).items())])
+    by = by or []
+    rows = df
+    if if_absent:
+        taken = _taken(df, target, by)
+        if taken is not None:
+            if not by:
+                return False
+            rows = df.join(taken, reduce(lambda a, b: a & b, [df[c].cast("string").eqNullSafe(taken[f"__{c}"]) for c in by]), "left_anti")
+            if rows.isEmpty():
+                return False
+    writer = (rows.hint("rebalance", *by) if by else rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if format == "csv":
         writer = writer.options(**TEXT_OPTIONS).option("sep", sep)
-    writer.partitionBy(*order).format(format).save(path)
+    (writer.partitionBy(*by) if by else writer).format(format).save(target)
     return True
 
 
+def _folder_text(value: object) -> str:
+    """A layer's value as a folder name, escaped as partition folders are."""
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in text)
+
+
+def _taken(df: DataFrame, target: str, by: list[str]) -> DataFrame | None:
+    """The folders (values of `by` as text) that hold files below target, or None when there are none."""
+    listed = (df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*"))
+    try:
+        files = listed.load(target).select("path")
+        if files.isEmpty():
+            return None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    raw = {c: F.url_decode(F.replace(F.regexp_extract("path", f"/{c}=([^/]*)", 1), F.lit("+"), F.lit("%2B"))) for c in by}
+    return files.select(*[F.nullif(raw[c], F.lit("__HIVE_DEFAULT_PARTITION__")).alias(f"__{c}") for c in by]).distinct() if by else files
+
+
 def age_days(name: Column, as_of: date, modified: Column | None = None) -> Column:
     """Days since the date in the name, or since the modification time when it is given."""
     day = names.name_date(name) if modified is None else F.to_date(modified)

@@ -92,10 +92,14 @@ def problem_files(drop: DataFrame, location: str) -> DataFrame:
 
 
 def land_drop(packed: DataFrame, target: str, control_table: str) -> DataFrame:
-    """Unpack a drop, land it under table=/date=, record problem files, and return the landed records."""
-    layout.write_layout(unpack_drop(packed), target, by=["table", "date"], format="parquet", skip_empty=False)
+    """Unpack a drop, land it under table=/date=/drop=, record problem files, and return all landed records.
+
+    drop= is made of the archive's path: earlier drops stay, and an archive that comes again replaces itself.
+    """
+    records = unpack_drop(packed).withColumn("drop", F.substring(F.md5(F.col("path").cast("binary")), 1, 16))
+    layout.write_layout(records, target, by=["table", "date", "drop"], format="parquet", skip_empty=False)
     landed = packed.sparkSession.read.schema(
-        f"{archives.RECORD_SCHEMA}, file string, `table` string, date string").parquet(target)
+        f"{archives.RECORD_SCHEMA}, file string, `table` string, date string, `drop` string").parquet(target).drop("drop")
     tables.upsert_table(problem_files(landed, target), control_table, ["file_name"])
     return landed
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +52,17 @@ MEMBER_SQL = """'ORD' || o_orderstatus || '.acme.' || case o_orderpriority when
                 then 'archive' else 'keep' end as action
     from (select {MEMBER_SQL} as member from orders) group by member""")
 def flow_file_drop(spark: SparkSession, sf: str) -> DataFrame:
-    """A drop of archives: unpacked, landed by table and day, checked, and split by age."""
+    """Two drops of archives, the first one twice: unpacked, landed by table and day, checked, and split by age."""
     orders = load(spark, sf, "orders").withColumn("member", F.expr(MEMBER_SQL.replace("varchar", "string")))
-    packed = pack_records(orders.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus", "member"), "member")
+
+    def packed(rows: DataFrame) -> DataFrame:
+        return pack_records(rows.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus", "member"), "member")
+
     control = f"{work_database(spark, 'drop')}.problem_files"
-    landed = flows.land_drop(packed, work_folder(spark, "landed"), control)
+    folder = work_folder(spark, "landed")
+    for half, label in ((0, "early/"), (1, "late/"), (0, "early/")):
+        drop = packed(orders.where(F.col("o_orderkey") % 2 == half)).withColumn("path", F.concat(F.lit(label), "path"))
+        landed = flows.land_drop(drop, folder, control)
     counted = landed.where("record_no > 0").groupBy(F.col("member").alias("name"), "table", "date").count()
     flagged = spark.table(control).select(F.col("file_name").alias("name"), F.lit(True).alias("flagged"))
     return (layout.split_by_age(counted, ARCHIVE_AS_OF).join(flagged, "name", "left")
@@ -164,10 +170,13 @@ def flow_sheet_clone(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registry.add("flow_budget_pull", """
-    select o_orderkey, o_custkey, o_totalprice, '2024-01-15' as "metadata_Date" from orders where o_orderstatus = 'O'""")
+    select o_orderkey, o_custkey, o_totalprice, '2024-01-15' as "metadata_Date" from orders where o_orderstatus = 'O'
+    union all select o_orderkey, o_custkey, o_totalprice, '2024-01-16' from orders where o_orderstatus = 'F'""")
 def flow_budget_pull(spark: SparkSession, sf: str) -> DataFrame:
+    """Pulls of two days next to each other."""
     path = work_folder(spark, "budget")
     rows = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     flows.pull_budget(rows, F.col("o_orderstatus") == "O", path, AS_OF)
+    flows.pull_budget(rows, F.col("o_orderstatus") == "F", path, AS_OF + timedelta(days=1))
     return (spark.read.schema("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string, metadata_Date string")
             .option("header", "true").csv(path).drop("o_orderstatus"))

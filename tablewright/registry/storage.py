@@ -284,23 +284,38 @@ def table_compact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registry.add("write_hive_layout", """
-    select o_orderkey, o_totalprice, 'acme' as org, o_orderstatus as status from orders""")
+    select o_orderkey, o_totalprice, 'acme' as org, day, o_orderstatus as status
+    from orders, (values ('2024-01-15'), ('2024-01-16')) d(day)
+    where o_orderstatus <> 'P' or day = '2024-01-15'
+    union all select -o_orderkey, o_totalprice, 'acme', '2024-01-17', 'F' from orders where o_orderstatus = 'F'""")
 def write_hive_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days next to each other; the second write of a third day replaces only that day's folder."""
     path = work_folder(spark, "layout")
     rows = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("status"))
-    layout.write_layout(rows, path, {"org": "acme"}, ["status"])
-    return (spark.read.schema("o_orderkey bigint, o_totalprice double, org string, status string")
+    done = rows.where("status = 'F'")
+    for day, part in (("2024-01-15", rows), ("2024-01-16", rows.where("status <> 'P'")), ("2024-01-17", done),
+                      ("2024-01-17", done.withColumn("o_orderkey", -F.col("o_orderkey")))):
+        layout.write_layout(part, path, {"org": "acme", "day": day}, ["status"])
+    return (spark.read.schema("o_orderkey bigint, o_totalprice double, org string, day string, status string")
             .option("header", "true").csv(path))
 
 
-@registry.add("write_if_absent", "select s_suppkey, s_name from supplier")
+@registry.add("write_if_absent", """
+    select s_suppkey, s_name, org from supplier, (values ('a'), ('b')) o(org)
+    union all select s_suppkey, case when s_nationkey < 5 then s_name else 'other' end, 'by' || cast(s_nationkey as varchar)
+    from supplier""")
 def write_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    """The second write finds the folder taken and leaves it alone."""
+    """Two organisations, the first written twice; by nation, only the nations not there yet are written."""
     path = work_folder(spark, "absent")
-    suppliers = load(spark, sf, "supplier").select("s_suppkey", "s_name")
-    for rows in (suppliers, suppliers.withColumn("s_name", F.lit("other"))):
-        layout.write_layout(rows, path, {"table": "supplier"}, format="parquet", if_absent=True)
-    return spark.read.parquet(path).select("s_suppkey", "s_name")
+    suppliers = load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    named, other = suppliers.drop("s_nationkey"), F.lit("other")
+    for org, rows in (("a", named), ("b", named), ("a", named.withColumn("s_name", other))):
+        layout.write_layout(rows, f"{path}/fixed", {"org": org}, format="parquet", if_absent=True)
+    for rows in (suppliers.where("s_nationkey < 5"), suppliers.withColumn("s_name", other)):
+        layout.write_layout(rows, f"{path}/nations", by=["s_nationkey"], format="parquet", if_absent=True)
+    fixed = spark.read.schema("s_suppkey bigint, s_name string, org string").parquet(f"{path}/fixed")
+    nations = spark.read.schema("s_suppkey bigint, s_name string, s_nationkey string").parquet(f"{path}/nations")
+    return fixed.unionByName(nations.select("s_suppkey", "s_name", F.concat(F.lit("by"), "s_nationkey").alias("org")))
 
 
 @registry.add("stream_ingest_files", "select event_id, user_id, event_type, value from events")
