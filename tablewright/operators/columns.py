@@ -28,16 +28,20 @@ def load_date(df: DataFrame, column: str, name: str = "__Date") -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select exactly the schema's fields, cast to its types; fields the frame lacks become NULL."""
-    present = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[_conformed(f, present.get(f.name)) for f in schema.fields])
+    """Select exactly the schema's fields, cast to its types; fields the frame lacks become NULL.
 
+    Names match without regard to case, as Spark's own do; of several the one spelled alike is taken.
+    """
+    loose = {f.name.lower(): f for f in reversed(df.schema.fields)}
+    exact = {f.name: f for f in df.schema.fields}
+    return df.select(*[_conformed(f, exact.get(f.name) or loose.get(f.name.lower())) for f in schema.fields])
 
-def _conformed(field: T.StructField, source: T.DataType | None) -> Column:
+
+def _conformed(field: T.StructField, source: T.StructField | None) -> Column:
     if source is None:
         return F.lit(None).cast(field.dataType).alias(field.name)
-    column = F.col(f"`{field.name}`")
-    return column if source == field.dataType else column.try_cast(field.dataType).alias(field.name)
+    column = F.col(f"`{source.name}`")
+    return (column if source.dataType == field.dataType else column.try_cast(field.dataType)).alias(field.name)
 
 
 def flatten_maps(df: DataFrame, keys: dict[str, tuple[str, ...]], types: dict[str, str] | None = None) -> DataFrame:

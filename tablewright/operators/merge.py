@@ -1,8 +1,9 @@
 """Upsert as a pure DataFrame function.
 
 A target row takes the source row with its key; a source row without a partner is inserted. NULL keys never
-match. The target is only ever the streamed side of its joins: a source Spark can broadcast updates it without
-moving it, and a larger source joins by shuffle with the target on the side that AQE may split when a key is hot.
+match. The merged rows have the target's columns and types; columns the target lacks are refused. The plan has one
+shape: Spark's own estimates decide whether the source is broadcast, so that the target stays where it is, or both
+sides are shuffled with the target on the side that AQE may split when a key is hot.
 """
 
 from __future__ import annotations
@@ -13,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.session import is_small
-
 ALL = "all"
 KEY_TYPES = (T.LongType, T.FloatType, T.StringType)
 
@@ -23,6 +22,10 @@ class DuplicateKeys(ValueError):
     pass
 
 
+class UnknownColumns(ValueError):
+    pass
+
+
 def infer_keys(declared: T.StructType) -> list[str]:
     """Required long, float and string fields of a declared schema.
 
@@ -49,21 +52,34 @@ def check_unique(source: DataFrame, keys: list[str]) -> None:
 def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], update: str | list[str] | None = ALL,
            check: bool = True) -> DataFrame:
     """Target after the merge. update: ALL (every non-key column), a column, a list, or None to insert only."""
-    keys = as_list(keys)
-    updates = infer_updates(source.columns, keys) if update == ALL else as_list(update)
+    source, spelled = _named_as(target, source), {c.lower(): c for c in target.columns}
+    keys = [spelled.get(k.lower(), k) for k in as_list(keys)]
+    updates = infer_updates(source.columns, keys) if update == ALL else [spelled.get(c.lower(), c) for c in as_list(update)]
+    unknown = [c for c in [*keys, *updates] if c not in source.columns]
+    if unknown:
+        raise UnknownColumns(f"the source has no column {unknown}")
     if check:
         check_unique(source, keys)
     merged = _updated(target, source, keys, updates) if updates else target
-    return merged.unionByName(inserts(target, source, keys).select(*target.columns))
+    new = inserts(target, source, keys)
+    return merged.unionByName(new.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in new.columns
+                                           else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]))
+
+
+def _named_as(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The source with its columns spelled as in the target, which must have them all."""
+    spelled = {c.lower(): c for c in target.columns}
+    unknown = [c for c in source.columns if c.lower() not in spelled]
+    if unknown:
+        raise UnknownColumns(f"the target has no column {unknown}")
+    return source.select(*[F.col(f"`{c}`").alias(spelled[c.lower()]) for c in source.columns])
 
 
 def inserts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key the target does not hold. Rows with a NULL key go around the join, not through one task."""
     keyed = source.where(_present(keys))
-    held = target.select(*keys)
-    if is_small(source):
-        # the semi join keeps target keys from being shuffled: only the few that match go on
-        held = held.join(keyed.select(*keys), keys, "left_semi")
+    # The semi join leaves only the few target keys that match to be made distinct and compared.
+    held = target.select(*keys).join(keyed.select(*keys), keys, "left_semi")
     new = keyed.join(held.distinct(), keys, "left_anti").select(*source.columns)
     return new.unionByName(source.where(~_present(keys)))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.session import work_folder
+
 
 def head_list(df: DataFrame, columns: list[str], order: str, size: int = 1000) -> DataFrame:
     """The first rows of a list, ordered by its record number."""
@@ -25,27 +27,33 @@ def by_key(df: DataFrame, key: str, value: object) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
-def ranked(df: DataFrame, key: str, width: int = 1_000_000) -> DataFrame:
-    """Add Rank, the 1-based place of the row's integer key among all rows (equal keys share a place).
+def middle(df: DataFrame, key: str) -> object:
+    """The key with the middle place in ascending order (the lower one of two), of any type that can be ordered.
 
-    Counts go per key first and then per key range of the given width, so one window task sees at most
-    `width` keys, and the window over ranges sees one row per range. No task sorts the whole input. Meant for
-    dense integer keys (record numbers), where the ranges are few.
+    Keys are counted first, so a hot key is one row; ranges of keys are counted next, and only the range that holds
+    the middle is sorted. None without keys.
     """
-    bucket = F.floor(F.col(key) / F.lit(width))
-    per_key = df.groupBy(key).agg(F.count("*").alias("__n")).withColumn("__bucket", bucket)
-    per_bucket = per_key.groupBy("__bucket").agg(F.sum("__n").alias("__total"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("__bucket", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy("__bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    places = (per_key.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-              .join(offsets, "__bucket")
-              .select(key, (F.col("__offset") + F.col("__before") + 1).alias("Rank")))
-    return df.join(places, key)
-
-
-def run_half(df: DataFrame, key: str, second: bool, width: int = 1_000_000) -> DataFrame:
+    spark = df.sparkSession
+    path = work_folder(spark, "middle")
+    (df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+     .repartitionByRange("key").withColumn("part", F.spark_partition_id()).write.parquet(path))
+    counted = spark.read.parquet(path)
+    left = -(-(counted.agg(F.sum("n")).first()[0] or 0) // 2)
+    for part in counted.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one row per range
+        if left <= part["n"]:
+            inside = counted.where(F.col("part") == part["part"]).withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy("key")))
+            return inside.where(F.col("upto") >= left).agg(F.min("key")).first()[0]
+        left -= part["n"]
+    return None
+
+
+def halves(df: DataFrame, key: str, names: tuple[str, str] = ("first", "second"), column: str = "run") -> DataFrame:
+    """Every row with the half of the list it is in. Equal keys stay together; rows without a key are in the second."""
+    found = middle(df, key)
+    first = F.lit(False) if found is None else F.coalesce(F.col(key) <= F.lit(found), F.lit(False))
+    return df.withColumn(column, F.when(first, F.lit(names[0])).otherwise(F.lit(names[1])))
+
+
+def run_half(df: DataFrame, key: str, second: bool) -> DataFrame:
     """First half of the list in ascending order, or the second half. The halves are disjoint and complete."""
-    half = F.ceil(df.agg(F.count("*")).scalar() / 2)
-    placed = ranked(df, key, width)
-    return placed.where(F.col("Rank") > half if second else F.col("Rank") <= half).drop("Rank")
+    return halves(df, key, column="__half").where(F.col("__half") == ("second" if second else "first")).drop("__half")

@@ -16,9 +16,7 @@ from pyspark.sql import types as T
 from tablewright.functions.names import qualified
 from tablewright.operators import columns, merge
 from tablewright.schemas import LAYERS
-
-# More touched partitions than this are matched by a join instead of a filter on listed values.
-LISTED_PARTITIONS = 1000
+from tablewright.session import work_folder
 
 
 def layer_table(layer: str, table: str, suffix: str | None = None) -> str:
@@ -123,13 +121,19 @@ def touched_partitions(target: DataFrame, rows: DataFrame, keys: list[str], layo
 
 
 def in_partitions(target: DataFrame, touched: DataFrame, layout: list[str]) -> DataFrame:
-    """Rows of the touched partitions: by a filter on their values while these are few, else by a semi join."""
-    values = touched.limit(LISTED_PARTITIONS + 1).collect()
-    if len(values) > LISTED_PARTITIONS:
-        wanted = touched.select(*[F.col(c).alias(f"__{c}") for c in layout])
-        return target.join(wanted, [target[c].eqNullSafe(wanted[f"__{c}"]) for c in layout], "left_semi")
-    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in layout]) for v in values]
-    return target.where(reduce(lambda a, b: a | b, same, F.lit(False)))
+    """Rows of the touched partitions. Their values are written out once and joined, so Spark prunes by them.
+
+    Partitions of NULL are joined apart: pruning works on plain equality only.
+    """
+    path = work_folder(target.sparkSession, "touched")
+    touched.select(*[F.col(c).alias(f"__{c}") for c in layout]).write.parquet(path)
+    wanted = target.sparkSession.read.parquet(path)
+    some_null = reduce(lambda a, b: a | b, [F.col(f"__{c}").isNull() for c in layout])
+    held_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in layout])
+    full = wanted.where(~some_null)
+    plain = target.join(full, [target[c] == full[f"__{c}"] for c in layout], "left_semi")
+    empty, apart = target.where(held_null), wanted.where(some_null)
+    return plain.unionByName(empty.join(apart, [empty[c].eqNullSafe(apart[f"__{c}"]) for c in layout], "left_semi"))
 
 
 def append_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> None:
@@ -143,7 +147,8 @@ def append_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> Non
 def compact(spark: SparkSession, name: str, where: Column | None = None) -> None:
     """Rewrite the files of the chosen partitions (all by default) in balanced sizes.
 
-    The rebalance hint lets AQE merge small pieces and split a partition that holds most rows.
+    The rebalance hint lets AQE merge small pieces and split a partition that holds most rows. Chosen partitions that
+    are in one file already stay as they are.
     """
     layout = partition_columns(spark, name)
     rows = spark.table(name)

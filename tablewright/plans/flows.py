@@ -145,7 +145,7 @@ def sheet_run(listing: DataFrame, token: str, second_run: Column | bool | None,
     if second_run is None:
         chosen = filters.without_token(listing, name, token)
     else:
-        chosen = paging.run_half(filters.with_token(listing, name, token), key, second_run)
+        chosen = paging.run_half(filters.with_token(listing, name, token), key, bool(second_run))
     return chosen.withColumn("file_name", F.concat(names.normalised(F.col(name)), F.lit(".csv")))
 
 

@@ -160,13 +160,15 @@ registry.add("sample_fraction")(
 
 
 @registry.add("split_runs", """
-    with ranked as (select p_partkey, p_name, ntile(2) over (order by p_partkey) as run from part)
-    select p_partkey, p_name, case run when 1 then 'first' else 'second' end as run from ranked""")
+    with listing as (select case when p_partkey % 10 > 0 then p_name || '-' || p_partkey end as id, p_name from part),
+    ranked as (select *, ntile(2) over (order by id) as run from listing where id is not null)
+    select id, p_name, case run when 1 then 'first' else 'second' end as run from ranked
+    union all select id, p_name, 'second' from listing where id is null""")
 def split_runs(spark: SparkSession, sf: str) -> DataFrame:
-    listing = load(spark, sf, "part").select("p_partkey", "p_name")
-    first = paging.run_half(listing, "p_partkey", second=False, width=1000).withColumn("run", F.lit("first"))
-    second = paging.run_half(listing, "p_partkey", second=True, width=1000).withColumn("run", F.lit("second"))
-    return first.unionByName(second)
+    """Both halves of a list with text ids, some of them missing."""
+    key = F.concat_ws("-", "p_name", "p_partkey")
+    listing = load(spark, sf, "part").select(F.when(F.col("p_partkey") % 10 > 0, key).alias("id"), "p_name")
+    return paging.halves(listing, "id")
 
 
 registry.add("name_filter_split", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -50,16 +50,3 @@ def work_database(spark: SparkSession, label: str) -> str:
     spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
     return name
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def is_small(df: DataFrame) -> bool:
-    """True when Spark itself would broadcast the frame."""
-    return estimated_bytes(df) <= broadcast_limit(df.sparkSession)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 
 def ingest_new_files(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType,
-                     format: str = "parquet", files_per_batch: int = 1000, timeout: int = 3600,
+                     format: str = "parquet", files_per_batch: int = 1000, timeout: int | None = None,
                      **options: str) -> None:
     """Append the records of files not seen by earlier runs of the same checkpoint."""
     arrivals = (spark.readStream.format(format).schema(schema).options(**options)
@@ -17,8 +17,11 @@ def ingest_new_files(spark: SparkSession, source: str, target: str, checkpoint:
     finish(run, timeout)
 
 
-def finish(run, timeout: int) -> None:
-    if not run.awaitTermination(timeout):
+def finish(run, timeout: int | None = None) -> None:
+    """Wait until the stream has taken in what there was, however long that is unless a limit is given."""
+    if timeout is None:
+        run.awaitTermination()
+    elif not run.awaitTermination(timeout):
         run.stop()
         raise TimeoutError(f"stream did not finish within {timeout} s")
     if run.exception() is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,18 +13,25 @@ from tablewright.streaming.ingest import finish
 
 
 def latest_per_key(batch: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key inside a batch; partial aggregation keeps a hot key cheap."""
+    """The last row of each key inside a batch; partial aggregation keeps a hot key cheap.
+
+    A NULL order comes before all others. Rows with a NULL key match nothing and all stay.
+    """
     rest = [c for c in batch.columns if c not in keys]
-    return (batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__last"))
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    last = (batch.where(keyed).groupBy(*keys)
+            .agg(F.max_by(F.struct(*rest), F.struct(F.col(order).isNotNull(), F.col(order))).alias("__last"))
             .select(*keys, "__last.*").select(*batch.columns))
+    return last.unionByName(batch.where(~keyed))
 
 
 def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table: str, keys: list[str],
                   checkpoint: str, order: str | None = None, partition_by: list[str] | None = None,
-                  update: str | list[str] | None = merge.ALL, format: str = "parquet", files_per_batch: int = 1000, timeout: int = 3600) -> None:
+                  update: str | list[str] | None = merge.ALL, format: str = "parquet", files_per_batch: int = 1000, timeout: int | None = None) -> None:
     """Merge the files not seen before into the table, batch by batch in order of arrival.
 
-    With `order`, several changes of one key inside a batch collapse to the last one.
+    With `order`, several changes of one key inside a batch collapse to the last one. Give `partition_by` columns that
+    are part of the key: then a batch rewrites only the partitions it names instead of the whole table.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:

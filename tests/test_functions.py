@@ -90,14 +90,18 @@ def test_misnamed(spark):
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 10, 1001])
 def test_halves_are_disjoint_complete_and_ordered(spark, n):
     df = spark.range(n).select((F.col("id") * 3 - 50).alias("id"))
-    first = sorted(r.id for r in paging.run_half(df, "id", False, width=64).collect())
-    second = sorted(r.id for r in paging.run_half(df, "id", True, width=64).collect())
+    first = sorted(r.id for r in paging.run_half(df, "id", False).collect())
+    second = sorted(r.id for r in paging.run_half(df, "id", True).collect())
     assert len(first) == (n + 1) // 2 and first + second == sorted(i * 3 - 50 for i in range(n))
 
 
-def test_ranks_of_a_hot_key(spark):
-    df = spark.createDataFrame([(5,)] * 50 + [(1,), (9,)], "id int")
-    assert {(r.id, r.Rank) for r in paging.ranked(df, "id", 4).collect()} == {(1, 1), (5, 2), (9, 52)}
+def test_halves_of_text_ids_with_nulls_and_a_hot_key(spark):
+    df = spark.createDataFrame([("e",)] * 50 + [("a",), ("x",), (None,)], "id string")
+    assert {(r.id, r.run, r["count"]) for r in paging.halves(df, "id").groupBy("id", "run").count().collect()} == {
+        ("a", "first", 1), ("e", "first", 50), ("x", "second", 1), (None, "second", 1)}
+    assert paging.halves(df.where("id is null"), "id").collect() == [(None, "second")]
+    sparse = spark.range(2000).select((F.col("id") * 10_000_019).alias("id"))
+    assert paging.run_half(sparse, "id", False).count() == 1000
 
 
 def test_pages_together_are_the_whole_list(spark):

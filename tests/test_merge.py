@@ -87,9 +87,7 @@ def test_table_merge_creates_then_updates_and_stamps(spark, database):
     assert sorted((r["k"], r["g"], r["v"], r["__run"]) for r in rows) == [(1, "a", 2, "5"), (2, "c", 3, "6")]
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_partitioned_table_rewrites_only_touched_partitions(spark, database, monkeypatch, listed):
-    monkeypatch.setattr(tables, "LISTED_PARTITIONS", listed)
+def test_partitioned_table_rewrites_only_touched_partitions(spark, database):
     name = f"{database}.t"
     target = [(1, "a", 1), (2, "b", 2), (3, None, 3), (4, None, 4)]
     tables.upsert_table(frame(spark, target), name, ["k", "g"], partition_by=["g"])
@@ -100,9 +98,7 @@ def test_partitioned_table_rewrites_only_touched_partitions(spark, database, mon
     assert {f for f in spark.table(name).where("g = 'a'").inputFiles()} == before
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_partition_column_outside_the_key(spark, database, monkeypatch, listed):
-    monkeypatch.setattr(tables, "LISTED_PARTITIONS", listed)
+def test_partition_column_outside_the_key(spark, database):
     name = f"{database}.t"
     target = [(1, "a", 1), (2, "b", 2), (3, None, 3), (4, "c", 4), (None, "b", 9)]
     tables.upsert_table(frame(spark, target), name, "k", partition_by=["g"])
@@ -131,3 +127,32 @@ def test_small_source_moves_no_target_row(spark, folder):
     update = plan[plan.index("Union"):plan.index("LeftAnti")] if "LeftAnti" in plan else plan
     assert "BroadcastHashJoin" in update and "LeftOuter" in update
     assert merged.where("k = 5").first().v == 2 and merged.count() == 100_001
+
+
+def test_merged_rows_keep_the_target_types(spark, database):
+    source = spark.createDataFrame([(1.0, "a", 2.0), (2.0, "b", 3.0)], "k double, G string, v double")
+    target = frame(spark, [(1, "x", 1)])
+    merged = merge.upsert(target, source, "k")
+    assert merged.schema == target.schema and got(merged) == [(1, "a", 2), (2, "b", 3)]
+    tables.upsert_table(target, f"{database}.typed", "k")
+    tables.upsert_table(source, f"{database}.typed", "k")
+    assert [f.dataType for f in spark.table(f"{database}.typed").schema] == [f.dataType for f in target.schema]
+
+
+def test_unknown_columns_are_refused(spark):
+    target, source = frame(spark, [(1, "a", 1)]), frame(spark, [(1, "a", 1)])
+    with pytest.raises(merge.UnknownColumns):
+        merge.upsert(target, source.withColumn("more", source.v), "k")
+    with pytest.raises(merge.UnknownColumns):
+        merge.upsert(target, source, "k", ["v", "more"])
+
+
+def test_merge_is_the_same_without_broadcasts(spark):
+    target, source = [(1, "a", 1), (None, "b", 2)], [(1, "c", 3), (2, "d", 4), (None, "e", 5)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = got(merge.upsert(frame(spark, target), frame(spark, source), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert merged == brute(target, source, ["k"], ["g", "v"])
