@@ -41,6 +41,7 @@ class CuckooFilter:
 
     def _fill(self, keys: np.ndarray) -> bool:
         """Place the keys bucket by bucket; those that find both buckets full are moved about one by one."""
+        self.table = np.ascontiguousarray(np.sort(self.table, axis=1)[:, ::-1])  # free slots last, also after deletions
         prints, first, second = self._places(keys)
         left = np.arange(len(keys))
         for side in (first, second):

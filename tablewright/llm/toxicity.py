@@ -173,7 +173,7 @@ class Scorer:
             for k in np.unique(owner[a:b]) if b - a >= 3 else ():
                 run = split[k][max(0, a - begins[k]):b - begins[k]]
                 if len(run) >= 3:
-                    out[k] += self.word_weight(restore("".join(run), self.model))
+                    out[k] += self.token_weight("".join(run))
         return out
 
 

@@ -1,7 +1,23 @@
 import pytest
-from oracle import connect
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """documents as (doc_id, text) frames made by hand."""
+
+    def make(rows, more=""):
+        return spark.createDataFrame(rows, "doc_id long, text string" + more)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
 
 
 @pytest.fixture(scope="session")
-def duck():
-    return connect("/root/testdata/sf0.001")
+def texts(documents):
+    return {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
