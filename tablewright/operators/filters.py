@@ -65,5 +65,9 @@ def without_token(df: DataFrame, column: str, token: str) -> DataFrame:
     return df.where(~F.contains(F.col(column), F.lit(token)))
 
 
-def random_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    return df.where(F.rand(seed) <= fraction)
+def random_sample(df: DataFrame, fraction: float, seed: int, key: str | None = None) -> DataFrame:
+    """About a fraction of the rows. With a key the same rows every time: those whose hash of key and seed is low."""
+    if key is None:
+        return df.where(F.rand(seed) <= fraction)
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    return df.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < int(fraction * (1 << 32)))

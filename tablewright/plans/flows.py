@@ -105,8 +105,15 @@ def land_drop(packed: DataFrame, target: str, control_table: str) -> DataFrame:
 
 
 def dataset_frame(records: DataFrame, alias: str) -> DataFrame:
-    """Typed flat frame of a dataset's records."""
+    """Typed flat frame of a dataset's records: one row per record, per item of an invoice, or per tag of a job."""
     name = dataset_name(alias)
+    if name is None:
+        raise ValueError(f"no dataset is called {alias}")
+    if name == "invoice-items":
+        return nested.parse_items(records)
+    if name == "job-tag-types":
+        links = nested.explode_ids(records, "tagTypeIds", "tagTypeId", jobId="id", tenantId="tenantId")
+        return columns.conform(links, dataset_schema(name))
     if name == "invoices":
         records = columns.flatten_maps(records, INVOICE_MAP_KEYS, INVOICE_TYPED_KEYS)
     elif name == "jobs":
@@ -119,7 +126,11 @@ def dataset_frame(records: DataFrame, alias: str) -> DataFrame:
 
 
 def pull_dataset(spark: SparkSession, path: str, alias: str, record: T.StructType) -> DataFrame:
+    """All records of the pages below path, refused when a source has fewer than it announced."""
     pages = paged_json.read_pages(spark, path, record)
+    short = joins.expected_rows(pages).where("not complete").take(1)
+    if short:
+        raise ValueError(f"pages are missing: {short[0].asDict()}")
     return dataset_frame(paged_json.records_of(pages), alias)
 
 

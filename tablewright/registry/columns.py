@@ -155,8 +155,10 @@ def incremental_rules(spark: SparkSession, sf: str) -> DataFrame:
     return result
 
 
-registry.add("sample_fraction")(
-    lambda spark, sf: filters.random_sample(load(spark, sf, "events"), 0.3, seed=7).select("event_id"))
+registry.add("sample_fraction", f"""
+    select event_id from events
+    where ('0x' || substr(md5(cast(event_id as varchar) || ':7'), 1, 8))::bigint < {int(0.3 * (1 << 32))}""")(
+    lambda spark, sf: filters.random_sample(load(spark, sf, "events"), 0.3, seed=7, key="event_id").select("event_id"))
 
 
 @registry.add("split_runs", """

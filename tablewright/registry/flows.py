@@ -6,11 +6,13 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators import columns, layout, nested
 from tablewright.plans import flows
 from tablewright.registry.common import ARCHIVE_AS_OF, AS_OF, Registry, load, pack_records, relaxed, write_pages
-from tablewright.registry.nesting import CALL_COLUMNS, CALL_ROWS_SQL, account_documents, call_records
+from tablewright.registry.nesting import (CALL_COLUMNS, CALL_ROWS_SQL, ITEMS_SQL, account_documents, call_records,
+                                           invoice_texts)
 from tablewright.schemas import raw_schema
 from tablewright.session import work_database, work_folder
 from tablewright.sources import delimited
@@ -124,6 +126,25 @@ def flow_api_jobs(spark: SparkSession, sf: str) -> DataFrame:
     return nested.explode_ids(frame, "tagTypeIds", "tagTypeId", **{c: c for c in kept})
 
 
+@registry.add("flow_api_items", ITEMS_SQL)
+def flow_api_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of invoices pulled in pages, one row each."""
+    path = write_pages(invoice_texts(spark, sf), "tenantId")
+    return flows.pull_dataset(spark, path, "ii", T.StructType.fromDDL("id bigint, items string"))
+
+
+@registry.add("flow_api_tags", """
+    select o_orderkey as "jobId", unnest([o_orderkey, o_custkey]) as "tagTypeId", o_orderpriority as "tenantId" from orders
+    where o_orderstatus <> 'P'""")
+def flow_api_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags of jobs pulled in pages, one row each; jobs without tags give none."""
+    jobs = load(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("tenantId"),
+        F.when(F.col("o_orderstatus") != "P", F.array("o_orderkey", "o_custkey")).alias("tagTypeIds"))
+    path = write_pages(jobs, "tenantId")
+    return flows.pull_dataset(spark, path, "jtt", T.StructType.fromDDL("id bigint, tagTypeIds array<bigint>")).select("jobId", "tagTypeId", "tenantId")
+
+
 @registry.add("flow_api_calls", CALL_ROWS_SQL)
 def flow_api_calls(spark: SparkSession, sf: str) -> DataFrame:
     raw = relaxed(raw_schema("calls"))

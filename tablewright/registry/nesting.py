@@ -119,14 +119,14 @@ def item_sql(values: dict[str, str]) -> str:
             "where l_tax > 0 or l_linestatus <> 'F'")
 
 
-registry.add("parse_items", item_sql({
+ITEMS_SQL = item_sql({
     "id": "cast(l_partkey as varchar)", "quantity": "cast(cast(l_quantity as integer) as varchar)", "type": "'Material'",
     "description": "'part, ' || l_returnflag", "order": "cast(l_linenumber as varchar)", "itemGroup_name": "l_linestatus",
     "itemGroup_rootId": "cast(l_suppkey as varchar)", "generalLedgerAccount_detailType": "'Income'",
     "generalLedgerAccount_name": "l_returnflag", "generalLedgerAccount_type": "'Ledger'"}) + " union all " + item_sql({
         "id": "cast(l_suppkey as varchar)", "total": "cast(cast(round(l_tax * 100) as integer) as varchar)", "type": "'Service'",
-        "costOfSaleAccount_name": "'Tax, state'", "costOfSaleAccount_number": "cast(l_linenumber as varchar)"}))(
-    lambda spark, sf: nested.parse_items(invoice_texts(spark, sf)))
+        "costOfSaleAccount_name": "'Tax, state'", "costOfSaleAccount_number": "cast(l_linenumber as varchar)"})
+registry.add("parse_items", ITEMS_SQL)(lambda spark, sf: nested.parse_items(invoice_texts(spark, sf)))
 
 
 def call_records(spark: SparkSession, sf: str) -> DataFrame:

@@ -136,8 +136,18 @@ registry.add("first_valid", """
         load(spark, sf, "customer").select(
             "c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD")).alias("seg")), "seg", "c_custkey"))
 
-registry.add("approx_distinct_summary")(
-    lambda spark, sf: profile.approx_distinct_summary(lines(spark, sf)))
+
+
+@registry.add("approx_distinct_summary", """
+    select unnest(['l_orderkey', 'l_partkey', 'l_quantity', 'l_extendedprice', 'l_tax', 'l_discount', 'l_linestatus',
+                   'l_returnflag']) as "ColumnName", (select count(*) from lineitem) as "TotalRecords", true as close""")
+def approx_distinct_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketched counts that are within a tenth of the exact ones."""
+    rough = profile.approx_distinct_summary(lines(spark, sf))
+    exact = profile.distinct_value_summary(lines(spark, sf)).select("ColumnName", F.col("DistinctCount").alias("exact"))
+    near = F.abs(F.col("DistinctCount") - F.col("exact")) <= F.col("exact") * 0.1
+    return rough.join(exact, "ColumnName").select("ColumnName", "TotalRecords", near.alias("close"))
+
 
 STORED_COLUMNS = """, 'lake' as "SourceDatabase", 'lineitem' as "SourceTable", '2024-01-15' as "__date" """
 

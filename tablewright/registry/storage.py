@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -78,12 +79,13 @@ def scan_expected_header(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.read_expected(spark, write_csv(part, ","), ["p_partkey", "p_retailprice"], part.schema)
 
 
-@registry.add("csv_redelimit", PART_SQL)
+@registry.add("csv_redelimit", """select doc_id, text, n_chars from documents""")
 def csv_redelimit(spark: SparkSession, sf: str) -> DataFrame:
-    part = load(spark, sf, "part")
+    """Whole texts with quotes and line breaks, written with commas and again with pipes."""
+    documents = load(spark, sf, "documents").select("doc_id", "text", "n_chars")
     target = work_folder(spark, "redelimited")
-    delimited.redelimit(spark, write_csv(part, ","), target, part.schema)
-    return delimited.read_delimited(spark, target, part.schema, "|")
+    delimited.redelimit(spark, write_csv(documents, ","), target, documents.schema)
+    return delimited.read_delimited(spark, target, documents.schema, "|")
 
 
 @registry.add("add_null_columns", """
@@ -122,33 +124,75 @@ registry.add("column_metadata", """
         profile.null_counts(load(spark, sf, "lineitem")).select(F.col("ColumnName").alias("COLUMN_NAME"), "Nulls"), "COLUMN_NAME"))
 
 
-@registry.add("catalog_tables")
+def plain_name(column: str = "table_name") -> Column:
+    return F.element_at(F.split(column, "\\."), -1)
+
+
+@registry.add("catalog_tables", """
+    select 'customer' as name, count(*) as records from customer union all select 'orders', count(*) from orders
+    union all select 'supplier', count(*) from supplier""")
 def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of a database with the rows each holds."""
     database = work_database(spark, "listed")
     for table in ("orders", "customer", "supplier"):
         external_table(spark, sf, database, table)
-    return catalog.tables(spark, database)
+    listed = catalog.tables(spark, database)
+    counted = [spark.table(r.table_name).select(F.lit(r.table_name).alias("table_name")) for r in listed.collect()]
+    held = reduce(DataFrame.unionByName, counted).groupBy("table_name").agg(F.count("*").alias("records"))
+    return listed.join(held, "table_name").select(plain_name().alias("name"), "records")
 
 
-@registry.add("warm_tables")
+@registry.add("warm_tables", """
+    select 'orders' as name, count(*) as row_count, true as ok from orders union all select 'customer', count(*), true from customer
+    union all select 'lineitem', count(*), true from lineitem union all select 'missing', null, false""")
 def warm_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Tables cached and read together; one that is missing is reported. The cache is released again."""
     database = work_database(spark, "warm")
     listed = [external_table(spark, sf, database, t) for t in ("orders", "customer", "lineitem")]
     report = catalog.warm_tables(spark, [*listed, f"{database}.missing"])
     catalog.release(spark, listed)
-    return report
+    return report.select(plain_name().alias("name"), "row_count", "ok")
+
+
+@registry.add("scan_load", """
+    select 'orders' as name, count(*) as row_count, true as ok from orders union all select 'lineitem', count(*), true from lineitem""")
+def scan_load(spark: SparkSession, sf: str) -> DataFrame:
+    database = work_database(spark, "scan_load")
+    report = catalog.scan_tables(spark, [external_table(spark, sf, database, t) for t in ("orders", "lineitem")])
+    return report.select(plain_name().alias("name"), "row_count", "ok")
+
+
+FILE_SQL = "select o_orderstatus as status, count(*) as records from orders group by 1"
+
+
+def filed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """A folder of orders by status, and the rows read from each of its files."""
+    path = work_folder(spark, "filed")
+    orders = load(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    layout.write_layout(orders, path, by=["status"], format="parquet")
+    read = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"))
+    return path, read.groupBy("path").agg(F.count("*").alias("records"))
+
+
+def by_status(listed: DataFrame, held: DataFrame) -> DataFrame:
+    return (listed.join(held, "path").groupBy(F.regexp_extract("path", "/status=([^/]*)/", 1).alias("status"))
+            .agg(F.sum("records").alias("records")))
+
 
+@registry.add("file_inventory", FILE_SQL)
+def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by status, counted over the files that an inventory lists."""
+    path, held = filed(spark, sf)
+    return by_status(files.inventory(spark, path, glob="*.parquet"), held)
 
-registry.add("scan_load")(
-    lambda spark, sf: catalog.scan_tables(spark, [
-        external_table(spark, sf, work_database(spark, "scan_load"), t) for t in ("orders", "lineitem")]))
 
-registry.add("file_inventory")(
-    lambda spark, sf: files.inventory(spark, sf, glob="*.parquet"))
+@registry.add("file_recent", FILE_SQL)
+def file_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over the recent files, which are all of them; none is recent a century on."""
+    path, held = filed(spark, sf)
+    listed = files.inventory(spark, path, glob="*.parquet")
+    return by_status(files.recent(listed, date(1970, 1, 2)).unionByName(files.recent(listed, date(2124, 1, 1))), held)
 
-registry.add("file_recent")(
-    lambda spark, sf: files.recent(files.inventory(spark, sf, glob="*.parquet"), date(1970, 1, 1)))
 
 KIND_SQL = "case o_orderstatus when 'F' then 'all' when 'O' then 'change' else 'misc' end"
 MARK_SQL = "case o_orderpriority when '1-URGENT' then 'cr_' when '2-HIGH' then 'upd_' when '3-MEDIUM' then 'del_' else '' end"

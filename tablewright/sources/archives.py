@@ -52,7 +52,19 @@ def expand_records(packed: DataFrame, sep: str = ",", chunk_rows: int = 5000, ch
 
 
 def typed_records(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Data records cast to the schema; path and member stay in front. Empty text becomes NULL."""
-    fields = [F.nullif(F.get("fields", F.lit(i)), F.lit("")).try_cast(f.dataType).alias(f.name)
-              for i, f in enumerate(schema.fields)]
-    return records.where(F.col("record_no") > 0).select("path", "member", *fields)
+    """Data records cast to the schema; path and member stay in front. Empty text becomes NULL.
+
+    Fields are found by the member's header, without regard to case, so their order in a member does not matter. A
+    member that lacks a field of the schema is refused.
+    """
+    header = records.where(F.col("record_no") == 0).select(
+        F.col("path").alias("__path"), F.col("member").alias("__member"), F.transform("fields", F.lower).alias("__names"))
+    same = (records["path"] == F.col("__path")) & (records["member"] == F.col("__member"))
+
+    def value(name: str) -> Column:
+        at = F.array_position("__names", F.lit(name.lower()))
+        lacks = F.raise_error(F.concat(F.lit(f"no field {name} in "), F.col("member"))).cast("string")
+        return F.when(at > 0, F.get("fields", at.cast("int") - 1)).otherwise(lacks)
+
+    fields = [F.nullif(value(f.name), F.lit("")).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return records.where(F.col("record_no") > 0).join(header, same).select("path", "member", *fields)

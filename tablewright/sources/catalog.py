@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COLUMN_SCHEMA = "COLUMN_NAME string, DATA_TYPE string, ORDINAL_POSITION int, IS_NULLABLE string"
@@ -46,7 +47,7 @@ def _each(spark: SparkSession, names: list[str], work, threads: int) -> DataFram
         try:
             return name, work(name), True, None
         except Exception as error:  # one bad table must not stop the others
-            return name, None, False, str(error).splitlines()[0][:200]
+            return name, None, False, str(error) or type(error).__name__
 
     with ThreadPoolExecutor(threads) as pool:
         return spark.createDataFrame(list(pool.map(attempt, names)), WARM_SCHEMA)
@@ -66,8 +67,10 @@ def scan_tables(spark: SparkSession, names: list[str], threads: int = 10) -> Dat
     """Read every row of each table, several tables at a time, to put load on the cluster."""
 
     def scan(name: str) -> int:
-        spark.table(name).write.format("noop").mode("overwrite").save()
-        return spark.table(name).count()
+        seen = Observation()
+        rows = spark.table(name)
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+        return seen.get["n"]
 
     return _each(spark, names, scan, threads)
 

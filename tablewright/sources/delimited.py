@@ -12,17 +12,23 @@ from pyspark.sql import types as T
 
 # Quotes are doubled, as in most exports, so a backslash is plain data wherever it stands.
 TEXT_OPTIONS = {"header": "true", "escape": '"'}
+# Quoted values may hold line breaks, and a value that does not fit its type stops the read instead of turning NULL.
+READ_OPTIONS = {**TEXT_OPTIONS, "enforceSchema": "false", "multiLine": "true", "mode": "FAILFAST"}
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = "|",
                    **options: str) -> DataFrame:
-    """Many files in one read. A header that differs from the schema raises instead of shifting columns."""
-    return (spark.read.schema(schema).option("sep", sep).options(**TEXT_OPTIONS)
-            .option("enforceSchema", "false").options(**options).csv(paths))
+    """Many files in one read. A header that differs from the schema raises instead of shifting columns.
+
+    Values that do not fit raise too; pass mode="PERMISSIVE" for NULL. A file is read by one task, because quoted
+    values may hold line breaks: where none do, multiLine="false" lets Spark split large files.
+    """
+    return spark.read.schema(schema).option("sep", sep).options(**READ_OPTIONS).options(**options).csv(paths)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|", **options: str) -> None:
-    df.write.option("sep", sep).options(**TEXT_OPTIONS).options(**options).csv(path)
+    quoted = {"lineSep": "\n", **TEXT_OPTIONS}
+    df.write.option("sep", sep).options(**quoted).options(**options).csv(path)
 
 
 def headers(spark: SparkSession, paths: list[str], sep: str, threads: int = 16) -> dict[tuple[str, ...], list[str]]:

@@ -32,15 +32,19 @@ def recent(files: DataFrame, as_of: date, column: str = "last_modified") -> Data
     return files.where(F.col(column) >= F.lit(f"{day_before(as_of)} 00:00:00").cast("timestamp"))
 
 
-def load_type(name: Column) -> Column:
-    """fl for a full load, cr, upd or del for a change file, else NULL."""
+def load_types(name: Column) -> Column:
+    """Every load type the name fits: fl for a full load, cr, upd and del for change files. Often one, maybe several."""
     change = F.contains(name, F.lit("change."))
-    kind = F.when(F.contains(name, F.lit("all.")), F.lit("fl"))
-    for mark in ("cr", "upd", "del"):
-        kind = kind.when(change & F.contains(name, F.lit(f"_{mark}_")), F.lit(mark))
-    return kind
+    fits = [F.when(F.contains(name, F.lit("all.")), F.lit("fl"))]
+    fits += [F.when(change & F.contains(name, F.lit(f"_{mark}_")), F.lit(mark)) for mark in ("cr", "upd", "del")]
+    return F.array_compact(F.array(*fits))
+
+
+def load_type(name: Column) -> Column:
+    """The first load type the name fits, else NULL."""
+    return F.get(load_types(name), F.lit(0))
 
 
 def of_type(files: DataFrame, kind: str, column: str = "name") -> DataFrame:
     """Files of a load type; all keeps every file."""
-    return files if kind == "all" else files.where(load_type(F.col(column)) == kind)
+    return files if kind == "all" else files.where(F.array_contains(load_types(F.col(column)), kind))

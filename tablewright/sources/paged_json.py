@@ -10,9 +10,12 @@ from tablewright.schemas import page_schema
 
 
 def read_pages(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Every page with its envelope and the source it belongs to (folder source=...). Pages are read in parallel."""
+    """Every page with its envelope and the source it belongs to (folder source=...). Pages are read in parallel.
+
+    A page that is cut off or broken stops the read instead of vanishing.
+    """
     schema = T.StructType(page_schema(record).fields + [T.StructField("source", T.StringType())])
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def records_of(pages: DataFrame, tenant: str | None = None) -> DataFrame:

@@ -122,6 +122,53 @@ def test_pages_and_completeness(spark, tmp_path):
     assert state == {"a": (3, 3, True), "b": (2, 9, False)}
 
 
+def test_a_page_that_is_cut_off_stops_the_read(spark, tmp_path):
+    put(tmp_path / "source=a" / "1.json", '{"page": 1, "pageSize": 2, "totalCount": 2, "hasMore": false, "data": [{"id": 1}, {"i')
+    with pytest.raises(Exception):
+        paged_json.records_of(paged_json.read_pages(spark, str(tmp_path), T.StructType.fromDDL("id bigint"))).collect()
+
+
+def test_missing_pages_are_refused(spark, tmp_path):
+    put(tmp_path / "source=a" / "1.json", json.dumps({"page": 1, "pageSize": 1, "totalCount": 2, "hasMore": True, "data": [{"id": 1}]}))
+    with pytest.raises(ValueError):
+        flows.pull_dataset(spark, str(tmp_path), "tt", T.StructType.fromDDL("id bigint"))
+    with pytest.raises(ValueError):
+        flows.dataset_frame(spark.range(1), "unheard of")
+
+
+def test_values_that_do_not_fit_stop_the_read_and_line_breaks_survive(spark, tmp_path):
+    put(tmp_path / "bad" / "a.csv", "n|t\n1|x\nmany|y\n")
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, str(tmp_path / "bad"), T.StructType.fromDDL("n int, t string")).collect()
+    frame = spark.createDataFrame([(1, "two\nlines"), (2, "a\r\nb|c"), (3, 'q"')], "n int, t string")
+    delimited.write_delimited(frame, str(tmp_path / "out"))
+    got = sorted(tuple(r) for r in delimited.read_delimited(spark, str(tmp_path / "out"), frame.schema).collect())
+    assert [(n, t.replace("\r\n", "\n")) for n, t in got] == [(1, "two\nlines"), (2, "a\nb|c"), (3, 'q"')]
+
+
+def test_archive_fields_are_found_by_header(spark, tmp_path):
+    put(tmp_path / "one.zip", pack({"a.csv": "B,A\n7,3\n", "b.csv": "a,b\n1,2\n"}))
+    records = archives.expand_records(archives.archives(spark, str(tmp_path)))
+    typed = archives.typed_records(records, T.StructType.fromDDL("a int, b int"))
+    assert sorted((r.a, r.b) for r in typed.collect()) == [(1, 2), (3, 7)]
+    with pytest.raises(Exception):
+        archives.typed_records(records, T.StructType.fromDDL("a int, c int")).collect()
+
+
+def test_a_name_may_fit_several_load_types(spark):
+    frame = spark.createDataFrame([("T.o.change.2024-01-01_cr_upd_.csv",), ("T.o.all.1_cr_.csv",), ("x",)], "name string")
+    assert [r.k for r in frame.select(files.load_types(F.col("name")).alias("k")).collect()] == [["cr", "upd"], ["fl"], []]
+    both = spark.createDataFrame([("change._cr_x_upd_",)], "name string")
+    assert files.of_type(both, "cr").count() == files.of_type(both, "upd").count() == 1
+
+
+def test_a_failing_table_without_a_message_is_reported(spark, monkeypatch):
+    def fail(name):
+        raise RuntimeError
+
+    assert [r.error for r in catalog._each(spark, ["t"], fail, 1).collect()] == ["RuntimeError"]
+
+
 def echo():
     """A reader that answers a query with its text, and knows two catalog tables. Local, so that it is sent by value."""
 
