@@ -142,9 +142,10 @@ def collect_analytics(rows: DataFrame, accounts: DataFrame, instant: str, channe
 
 
 def upsert_analytics(frame: DataFrame, table: str, as_of: date) -> None:
+    """Merge counts into a table by year and month: only months that were collected again are rewritten."""
     keys = ["Year", "Month", "defaultChannelGrouping", "viewId"]
     stamped = columns.append_metadata(frame, as_of)
-    tables.upsert_table(stamped, table, keys, ["Users", "__Date"])
+    tables.upsert_table(stamped, table, keys, ["Users", "__Date"], partition_by=["Year", "Month"])
 
 
 def sheet_run(listing: DataFrame, token: str, second_run: Column | bool | None, key: str = "id", name: str = "name"

@@ -80,17 +80,29 @@ def merge_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name).select(*FIELDS)
 
 
-@registry.add("stream_upsert", UPSERT_SQL)
+@registry.add("stream_upsert", f"""
+    select o_orderkey, o_custkey, o_orderstatus, o_totalprice from ({UPSERT_SQL})
+    union all select null, o_custkey, o_orderstatus, o_totalprice from orders where o_custkey % 50 = 0""")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Changes arriving as files, merged by runs of one stream; the last run finds nothing new."""
+    """Changes arriving as files, merged by runs of one stream; the last run finds nothing new.
+
+    A key changes up to three times in a batch, once without an order; rows without a key are all inserted.
+    """
     arrivals, checkpoint = work_folder(spark, "arrivals"), work_folder(spark, "checkpoint")
     name = f"{work_database(spark, 'stream')}.orders"
-    first = target(spark, sf)
-    for batch in (first, source(spark, sf), None):
+
+    def numbered(df: DataFrame, change: int | None) -> DataFrame:
+        return df.select("*", (F.col("o_orderkey") % 4).alias("bucket"), F.lit(change).cast("int").alias("change"))
+
+    first, last = numbered(target(spark, sf), 1), source(spark, sf)
+    other = last.withColumns({"o_orderstatus": F.lit("old"), "o_totalprice": F.lit(-1.0)})
+    keyless = load(spark, sf, "orders").where("o_custkey % 50 = 0").select(F.lit(None).cast("bigint").alias("o_orderkey"), *FIELDS[1:])
+    changes = numbered(last, 9).unionByName(numbered(other, 8)).unionByName(numbered(other, None)).unionByName(numbered(keyless, 1))
+    for batch in (first, changes, None):
         if batch is not None:
             batch.write.mode("append").parquet(arrivals)
-        upserts.upsert_stream(spark, arrivals, first.schema, name, ["o_orderkey"], checkpoint)
-    return spark.table(name)
+        upserts.upsert_stream(spark, arrivals, first.schema, name, ["o_orderkey", "bucket"], checkpoint, "change", ["bucket"])
+    return spark.table(name).select(*FIELDS)
 
 
 @registry.add("left_join_chain", """

@@ -175,9 +175,13 @@ FLOW_SQL = " union all ".join([
 ])
 
 
-@registry.add("flow_profile", FLOW_SQL)
+QUARTILES = ("25%", "50%", "75%")
+
+
+@registry.add("flow_profile", f'select "ColumnName", cast(value as double) as value, summary from ({FLOW_SQL})' + "".join(
+    f' union all select "ColumnName", "{q}", \'{q}\' from ({per_column(NUMBERS, NUMERIC_SQL)})' for q in QUARTILES))
 def flow_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Profile a table, store every summary, and read one figure per column from each stored table."""
+    """Profile a table, store every summary, and read one figure per column from each stored table, and the quartiles."""
     database = work_database(spark, "flow_profile")
     written = flows.store_profile(lines(spark, sf), "lake", "lineitem", database, AS_OF)
     figure = {"numeric_summary": "Count", "string_summary": "Distinct", "bool_summary": "True",
@@ -186,9 +190,10 @@ def flow_profile(spark: SparkSession, sf: str) -> DataFrame:
     frames = []
     for name in written:
         summary = name.split(".")[1]
-        frames.append(spark.table(name).groupBy("ColumnName").agg(F.sum(F.col(figure[summary])).alias("value"))
+        frames.append(spark.table(name).groupBy("ColumnName").agg(F.sum(F.col(figure[summary])).cast("double").alias("value"))
                       .withColumn("summary", F.lit(summary)))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame)
-    return result
+    stored = spark.table(f"{database}.numeric_summary").select("ColumnName", *[F.col(f"`{q}`").alias(q) for q in QUARTILES])
+    return result.unionByName(stored.unpivot(["ColumnName"], [F.col(f"`{q}`") for q in QUARTILES], "summary", "value"))
