@@ -125,15 +125,15 @@ m AS (
   FROM d, (SELECT '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS a)
   UNION ALL
   SELECT doc_id, owner, repository, kind, rank, regexp_extract_all(text, r), regexp_extract_all(text, r), string_split_regex(text, r)
-  FROM d, (VALUES ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]+'), ('long', 3, '[A-Za-z0-9_-]{24,}')) p(kind, rank, r)),
+  FROM d, (VALUES ('access', 1, 'AKIA[A-Z0-9]{12,}'), ('hex', 2, '[0-9a-f]{32,}'), ('long', 3, '[A-Za-z0-9_-]{24,}')) p(kind, rank, r)),
 s AS (
   SELECT doc_id, owner, repository, kind, rank, hits[i] AS hit, vals[i] AS val,
     length(array_to_string(gaps[1:i], '')) + length(array_to_string(hits[1:i - 1], '')) AS b
   FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m)),
 c AS (
   SELECT *, b + length(hit) AS e FROM s
-  WHERE CASE kind WHEN 'assign' THEN length(val) >= 8 WHEN 'access' THEN length(hit) >= 16 WHEN 'hex' THEN length(hit) >= 32
-    ELSE regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') END),
+  WHERE CASE kind WHEN 'assign' THEN length(val) >= 8
+    WHEN 'long' THEN regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') ELSE true END),
 f AS (
   SELECT val, count(DISTINCT coalesce('=' || owner, '')) AS n_owners FROM c GROUP BY val),
 k AS (
