@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import map_texts, mixed, parts, raw_texts, stored
 
 LENGTH, DIGIT = 200, 56
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
