@@ -4,14 +4,16 @@ Every text is the set of its distinct 5-word shingles; two texts link when 100 *
 the same set are one class from the start. The join then works on classes:
 
 1. Of each set the smallest shingles by hash form a prefix. Similar sets have several prefix shingles in common, so a
-   class with too few shingles that any other class has in its prefix can link with nothing and leaves.
-2. The others are grouped by their smallest shared shingle; a group's rows are dealt into chunks of bounded size.
+   class with too few shingles that any other class has in its prefix can link with nothing and leaves. Of the rest the
+   whole sets are looked at in the same way: three quarters of a set have to be in others.
+2. Those left are grouped by their smallest shared shingle; a group's rows are dealt into chunks of bounded size.
    Near copies meet in few groups, however many they are.
-3. The token-group matrix holds for each group the union of its members' shared shingles. A class is compared with a
-   foreign group only if it shares as many shingles with that union as a link demands.
-4. Opening a group compares whole sets, exactly, inside a task. Members that are already connected are not compared
-   again: first inside each group, then one member of each component per qualifying group, then whatever is still
-   not connected. No link between two components can be missed, and no list of all pairs is ever made.
+3. Opening a group compares whole sets, exactly, inside a task. First the members of each chunk are connected, then
+   one class of each component with few others that have a small shingle in common.
+4. The token-group matrix holds for each component so found the union of its members' shared shingles. A class is
+   compared with a larger component only if it shares as many shingles with that union as a link demands: first one
+   class of each component, then whatever is still not connected. No link between two components can be missed, and no
+   list of all pairs is ever made.
 
 Words are split at ASCII white space after A-Z are lower-cased; a text of fewer words is one shingle; one without words
 has an empty set and links with nothing. Null texts are empty. A null doc_id may link; it is never the smallest id while
@@ -20,7 +22,7 @@ another is there. Repeated rows are members of the same class. Shingles are comp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ PERCENT = 75
 EXTRA = 0.10
 #: Shingles in a chunk of a group, unless one text alone has more.
 CHUNK_SHINGLES = 400_000
+#: Small shingles by which one class of each component looks for others, and tasks that share a much sought one.
+BRIDGE_SHINGLES, BRIDGE_SALTS = 8, 16
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -74,8 +78,13 @@ def needed(n: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.lit(EXTRA) * F.ceil(n * PERCENT / 100)))
 
 
-def _spread(docs: DataFrame) -> DataFrame:
-    """One row per document (doc_id, n, sid) and one per shared prefix shingle (sid, token)."""
+def demanded(n: Column) -> Column:
+    """least_overlap of a column."""
+    return F.ceil(n * PERCENT / 100)
+
+
+def _spread(docs: DataFrame, cut: Callable[[int], int]) -> DataFrame:
+    """One row per document (doc_id, n, sid) and one per shingle (sid, token) that several sets have among their smallest `cut(n)`."""
     buckets = parts(docs.sparkSession)
 
     def emit(batch):
@@ -88,7 +97,7 @@ def _spread(docs: DataFrame) -> DataFrame:
             ids.append(sid)
             sizes.append(n)
             if n:
-                tokens.append(members[:prefix_length(n)])
+                tokens.append(members[:cut(n)])
                 owners.append(np.full(len(tokens[-1]), sid, np.int64))
         yield pa.RecordBatch.from_pydict({
             "bucket": pa.array(np.arange(len(ids)) % buckets, pa.int32()), "doc_id": batch.column("doc_id").cast(pa.int64()),
@@ -231,18 +240,14 @@ def _open(rows: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, sid (class of equal sets, null for empty ones), component (a class id of its component)."""
-    spread = _spread(docs)
+    spread = _spread(docs, prefix_length)
     members = spread.where("token IS NULL").select("doc_id", "n", "sid")
     sets = members.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
-    tokens = spread.where("token IS NOT NULL").select("sid", "token")
-    counted = tokens.groupBy("sid").agg(F.count("*").alias("shared"), F.min("token").alias("lead"))
-    alive = stored(counted.join(sets, "sid").where(F.col("shared") >= needed(F.col("n"))).select("sid", "n", "rep", "lead"), "near_alive")
+    counted = spread.where("token IS NOT NULL").groupBy("sid").agg(F.count("*").alias("shared"))
+    maybe = stored(counted.join(sets, "sid").where(F.col("shared") >= needed(F.col("n"))).select("sid", "n", "rep"), "near_maybe")
 
-    sizes = alive.groupBy("lead").agg(F.sum("n").alias("all"))
-    part = F.pmod(F.xxhash64("sid"), F.ceil(F.col("all") / CHUNK_SHINGLES))
-    placed = stored(alive.join(sizes, "lead").select("sid", "n", "rep", F.xxhash64("lead", part).alias("chunk")), "near_placed")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    found = placed.select("sid", "rep").join(texts, placed["rep"].eqNullSafe(texts["rep"])).select("sid", "text")
+    found = maybe.select("sid", "rep").join(texts, maybe["rep"].eqNullSafe(texts["rep"])).select("sid", "text")
 
     def own(batch):
         keep = [i for i, (sid, raw) in enumerate(zip(batch.column("sid").to_pylist(), raw_texts(batch)))
@@ -251,35 +256,80 @@ def classes(docs: DataFrame) -> DataFrame:
 
     texts = stored(map_texts(found, own, "sid long, text string"), "near_texts")
 
-    def opened(asked: DataFrame, label: str) -> DataFrame:
-        return stored(_open(asked.join(texts, "sid").select("chunk", "query", "sid", "component", "text")), label)
+    whole = _spread(texts.select(F.col("sid").alias("doc_id"), "text"), int)
+    held = whole.where("token IS NOT NULL").groupBy("sid").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    alive = stored(held.join(maybe, "sid").where(F.size("tokens") >= demanded(F.col("n"))).select("sid", "n", "tokens"), "near_alive")
 
-    crowded = placed.groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk")
-    inside = opened(placed.join(crowded, "chunk").select("chunk", F.lit(False).alias("query"), "sid", F.col("sid").alias("component")), "near_inside")
-    local = _labelled(placed, inside, "near_local")
+    lead = F.col("tokens")[0].alias("lead")
+    sizes = alive.groupBy(lead).agg(F.sum("n").alias("all"))
+    part = F.pmod(F.xxhash64("sid"), F.ceil(F.col("all") / CHUNK_SHINGLES))
+    placed = stored(alive.select("sid", "n", lead).join(sizes, "lead").select("sid", F.xxhash64("lead", part).alias("chunk")), "near_placed")
 
-    cells = placed.join(tokens, "sid").select("token", "chunk").distinct()
-    asking = placed.join(tokens, "sid").select("token", "sid", "n", F.col("chunk").alias("home"))
-    qualified = stored(asking.join(cells, "token").where("chunk < home").groupBy("sid", "chunk").agg(F.count("*").alias("k"), F.first("n").alias("n"))
-                       .where(F.col("k") >= needed(F.col("n"))).select("sid", "chunk"), "near_qualified")
+    def opened(asked: DataFrame, label: str) -> DataFrame:
+        return stored(_open(asked.join(texts, "sid").select("chunk", "query", "sid", "component", "text")), label)
 
     def across(ask: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-        opening = ask.select("chunk").distinct()
-        groups = labels.join(opening, "chunk").select("chunk", F.lit(False).alias("query"), "sid", "component")
+        """Open chunks for the classes that ask: ask has sid, component, chunk."""
+        groups = labels.join(ask.select("chunk").distinct(), "chunk").select("chunk", F.lit(False).alias("query"), "sid", "component")
         return opened(ask.select("chunk", F.lit(True).alias("query"), "sid", "component").unionByName(groups), label)
 
-    asked = qualified.join(local.select("sid", "component"), "sid")
+    crowded = placed.groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk")
+    links = opened(placed.join(crowded, "chunk").select("chunk", F.lit(False).alias("query"), "sid", F.col("sid").alias("component")), "near_inside")
+    local = _labelled(placed, links, "near_local")
+    links = links.unionByName(opened(_bridges(local, alive), "near_bridges"))
+    bridged = _labelled(placed, links, "near_bridged")
+
+    qualified = stored(_qualified(alive, bridged), "near_qualified")
+    places = bridged.select(F.col("component").alias("other"), "chunk").distinct()
+    asked = qualified.join(places, "other").join(bridged.select("sid", "component"), "sid").select("sid", "component", "chunk").distinct()
     one = asked.groupBy("component", "chunk").agg(F.min("sid").alias("sid"))
-    links = inside.unionByName(across(one, local, "near_one"))
+    links = links.unionByName(across(one, bridged, "near_one"))
     joined = _labelled(placed, links, "near_joined")
+    found = joined.select("sid", "component")
     mixed_in = joined.groupBy("chunk").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rest = stored(qualified.join(joined.select("sid", "component"), "sid").join(mixed_in, "chunk")
+    rest = stored(asked.drop("component").join(found, "sid").join(mixed_in, "chunk")
                   .where("component <> low OR component <> high").select("sid", "chunk", "component"), "near_rest")
     final = _labelled(placed, links.unionByName(across(rest, joined, "near_rest_links")), "near_final")
     return (members.join(final.select("sid", "component"), "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("component")))
 
 
+def _bridges(local: DataFrame, alive: DataFrame) -> DataFrame:
+    """Pairs to open first: of each local component one class, with the least class that has a small shingle in common.
+
+    They connect most near copies that lie in different chunks, at a few pairs per component. What they miss is found
+    later; what they connect needs no further comparison.
+    """
+    chosen = local.groupBy("component").agg(F.min("sid").alias("sid")).join(alive, "sid")
+    low = stored(chosen.select("sid", "component", F.explode(F.slice("tokens", 1, BRIDGE_SHINGLES)).alias("token")), "near_low")
+    hubs = low.groupBy("token").agg(F.min(F.struct("sid", "component")).alias("hub"), F.count("*").alias("k")).where("k > 1").select("token", "hub")
+    pairs = low.join(hubs, "token").where("sid <> hub.sid").select("sid", "component", "hub").distinct()
+    salted = pairs.select("*", F.xxhash64("hub.sid", F.pmod(F.xxhash64("sid"), F.lit(BRIDGE_SALTS))).alias("chunk"))
+    asks = salted.select("chunk", F.lit(True).alias("query"), "sid", "component")
+    members = salted.select("chunk", F.lit(False).alias("query"), F.col("hub.sid").alias("sid"), F.col("hub.component").alias("component")).distinct()
+    return asks.unionByName(members)
+
+
+def _qualified(alive: DataFrame, labels: DataFrame) -> DataFrame:
+    """The token-group matrix over components: sid, other (a component it may link with). The smaller one asks.
+
+    Rows and unions are cut to the smallest tokens of each class, as many as hold some of any overlap that a link
+    demands (see `needed`). Tokens of one component only, which are most, leave before anything is joined.
+    """
+    ahead = F.size("tokens") - demanded(F.col("n")) + F.greatest(F.lit(1), F.floor(F.lit(EXTRA) * F.col("n")))
+    forward = stored(alive.select("sid", F.explode(F.slice("tokens", F.lit(1), ahead.cast("int"))).alias("token"))
+                     .join(labels.select("sid", "component"), "sid"), "near_forward")
+    crossing = (forward.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                .where("low <> high").select("token"))
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+    marked = stored(forward.join(crossing, "token", "left_semi").join(sizes, "component")
+                    .select("sid", "token", F.struct("size", "component").alias("home")), "near_marked")
+    cells = marked.groupBy("token", F.col("home").alias("other")).agg(F.count("*").alias("k")).drop("k")
+    counted = marked.join(cells, "token").where("home < other").groupBy("sid", "other").agg(F.count("*").alias("k"))
+    return (counted.join(alive.select("sid", "n"), "sid").where(F.col("k") >= needed(F.col("n")))
+            .select("sid", F.col("other.component").alias("other")))
+
+
 def _labelled(placed: DataFrame, links: DataFrame, label: str) -> DataFrame:
     """sid, chunk, component of all classes that may link."""
     known = components(links).select(F.col("node").alias("sid"), "component")
