@@ -87,6 +87,17 @@ def test_mixing_edges(spark):
     assert mixing.mixed(frame).columns == frame.columns and mixing.mixed(frame.where("false")).count() == 0
 
 
+def test_one_rare_cell_does_not_size_the_sample(spark):
+    rows = [(k, "w " * 50, ("en", "de")[k % 2], ("a", "b", "b", "b")[k % 4]) for k in range(400)]
+    rows += [(1000, "three small words", "en", "rare"), (1001, "three small words", None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    reached = mixing.reached(mixing.drawn(frame)).where("margin = 'source'").collect()
+    total = sum(r.tokens for r in reached)
+    assert abs(sum(r.expected for r in reached) / total - 0.5) < 1e-6 and abs(sum(r.sampled for r in reached) / total - 0.5) < 0.1
+    assert all(abs(r.expected - r.target) <= 0.02 * r.target for r in reached)
+    assert all(r.sampled == r.tokens for r in reached if r.tokens == 3)
+
+
 def test_cuckoo_filter_inserts_and_deletes():
     random = np.random.default_rng(1)
     keys, others = random.integers(0, 1 << 63, 20_000).astype(np.uint64), random.integers(0, 1 << 63, 20_000).astype(np.uint64)
