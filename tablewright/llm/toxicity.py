@@ -1,9 +1,9 @@
 """Toxicity with noisy-channel deobfuscation.
 
 A disguised word (leetspeak, letters spaced or punctuated apart, repeated letters) is a lattice: each character stands
-for the letters it may disguise, or for nothing. Viterbi decoding picks the reading that a character trigram model
-likes best. The model is counted over all texts and mixed with the spellings that labels mark as toxic. The restored
-words are then scored: log-odds of words and word beginnings, learned from a bounded sample of labelled documents,
+for the letters it may disguise, or for nothing, and a mark also for the edge between two words. Viterbi decoding picks
+the reading that a character trigram model likes best; each of its words is scored. The model is counted over all texts and mixed with the spellings that labels mark as toxic. The restored
+words and those that were plain are then scored: log-odds of words and word beginnings, learned from a bounded sample of labelled documents,
 summed over a document's distinct words and calibrated by logistic regression.
 
 Labels are learned only from rows whose crc32 of the doc_id is not held out. Null and empty texts have no words and
@@ -14,6 +14,7 @@ share of toxic labels (0 without any).
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -39,6 +40,9 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SEPARATORS = set(" .,_-*+~'|/\\:;=\"`^·•")
 EDGES = "".join(sorted(SEPARATORS)) + "!?()[]{}<>«»“”„’‘…"
 
+#: Undisguised words inside a token; shorter runs of letters are remains of disguised ones.
+PLAIN = re.compile(r"[^\W\d_]{%d,}" % BEGINNINGS.start)
+
 #: Alphabet of the character model: a word's edge, a-z, and the letters of Latin-1.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 SIZE = len(LETTERS) + 1
@@ -72,7 +76,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
 
 
 def character_model(corpus: np.ndarray, spellings: dict[str, float]) -> np.ndarray:
-    """Log-probability of a letter after two others: half corpus, half the given spellings."""
+    """Log-probability of a letter after two others: half corpus, half the given spellings; a $ is a word's end."""
     marked = np.zeros_like(corpus)
     for word, weight in spellings.items():
         a = b = 0
@@ -88,7 +92,7 @@ def character_model(corpus: np.ndarray, spellings: dict[str, float]) -> np.ndarr
 
 
 def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest reading of a disguised word: Viterbi over its lattice."""
+    """The likeliest reading of a token, words with blanks between: Viterbi over its lattice."""
     best = {(0, 0): (0.0, "")}
     before = ""
     for ch in token:
@@ -105,10 +109,14 @@ def restore(token: str, model: np.ndarray) -> str:
             options.append(("", -6.0))
             if ch == before:
                 options.append(("", -1.0))
+        if not ch.isalnum():
+            options.append((" ", -0.5))
         following: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, word) in best.items():
             for letter, cost in options:
-                if letter:
+                if letter == " ":
+                    state, value, text = (0, 0), score + cost + model[a, b, 0], word + letter
+                elif letter:
                     c = NUMBER[letter]
                     state, value, text = (b, c), score + cost + model[a, b, c], word + letter
                 else:
@@ -142,14 +150,21 @@ class Scorer:
         get = self.features.get
         return max([get(word + "$", 0.0), *(get(word[:k], 0.0) for k in BEGINNINGS if k <= len(word))])
 
+    def restored_weight(self, token: str) -> float:
+        """Sum over the distinct words of the restored token; a lone letter beside others is no word."""
+        words = restore(token, self.model).split()
+        return sum(self.word_weight(w) for w in set(words) if len(w) > 1 or len(words) == 1)
+
     def token_weight(self, token: str) -> float:
         core = token.strip(EDGES)
-        if core.isalpha() and not _tripled(core):
-            return self.word_weight(core)
+        if core.isalpha():
+            plain = self.word_weight(core)
+            return max(plain, self.restored_weight(core)) if _tripled(core) else plain
         # Marks at the edge may stand for letters: "!diot", "$cum".
         readings = {core, token} if len(token) > len(core) and any(c in LEET for c in token) else {core}
         readings = {r for r in readings if any(c in NUMBER for c in r) or sum(c in LEET for c in r) >= 3}
-        return max((self.word_weight(restore(r, self.model)) for r in readings), default=0.0)
+        plain = sum(self.word_weight(w) for w in set(PLAIN.findall(core)))
+        return max([plain, *map(self.restored_weight, readings)])
 
     def sums(self, texts: list[str]) -> np.ndarray:
         if len(self.known) > MOST_TOKENS:
@@ -165,7 +180,7 @@ class Scorer:
         toxic = np.flatnonzero(self.weight[numbers] > 0)
         pairs = np.unique(owner[toxic] * len(self.weight) + numbers[toxic])
         out = np.bincount(pairs // max(1, len(self.weight)), self.weight[pairs % max(1, len(self.weight))], len(split)) if len(pairs) else np.zeros(len(split))
-        # Runs of three or more single characters are one word spaced apart.
+        # Runs of three or more single characters are words spaced apart.
         alone = self.single[numbers]
         edge = np.flatnonzero(np.diff(np.concatenate(([0], alone.view(np.int8), [0]))))
         begins = np.cumsum(sizes) - sizes
@@ -173,7 +188,7 @@ class Scorer:
             for k in np.unique(owner[a:b]) if b - a >= 3 else ():
                 run = split[k][max(0, a - begins[k]):b - begins[k]]
                 if len(run) >= 3:
-                    out[k] += self.token_weight("".join(run))
+                    out[k] += max(self.token_weight("".join(run)), self.token_weight(" ".join(run)))
         return out
 
 
@@ -245,7 +260,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     train = _training_texts(docs, labels)
     weights = learned_weights(train)
-    model = character_model(trigram_counts(docs), {f.rstrip("$"): w for f, w in weights.items()})
+    model = character_model(trigram_counts(docs), weights)
     parts = docs.sparkSession.sparkContext.broadcast((weights, model))
     made: list[Scorer] = []
 

@@ -193,6 +193,18 @@ def test_disguised_words_are_restored():
     assert plain == 0 and all(x == 7.0 for x in disguised)
 
 
+def _scorer():
+    words = {"idiot$": 7.0, "stupid$": 7.0, "moron$": 7.0}
+    model = toxicity.character_model(np.ones((toxicity.SIZE,) * 3), words)
+    return toxicity.Scorer(words, model)
+
+
+def test_toxic_words_behind_others_in_a_token_or_run():
+    once = ["you-idiot", "well,idiot", "he/idiot", "yes!idiot", "you-1d10t", "you are a s t u p i d man", "u,s.t.u.p.i.d", "you_st*pid"]
+    assert list(_scorer().sums(once)) == [7.0] * len(once)
+    assert list(_scorer().sums(["s t u p i d i d i o t", "idiot/m0ron", "well-known", "a b c d"])) == [14.0, 14.0, 0.0, 0.0]
+
+
 def test_toxicity_edges(spark, docs):
     labels = spark.createDataFrame([(k, int(k % 2)) for k in range(40)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     rows = [(k, ("vile words here " if k % 2 else "kind words there ") + f"t{k} u{k} v{k}") for k in range(40)] + [(None, None), (50, ""), (50, "")]
