@@ -127,8 +127,8 @@ def restore(token: str, model: np.ndarray) -> str:
     return max(best.values())[1] if best else ""
 
 
-def _tripled(word: str) -> bool:
-    return any(a == b == c for a, b, c in zip(word, word[1:], word[2:]))
+def _repeats(word: str) -> bool:
+    return any(a == b and a in NUMBER for a, b in zip(word, word[1:]))
 
 
 class Scorer:
@@ -159,7 +159,7 @@ class Scorer:
         core = token.strip(EDGES)
         if core.isalpha():
             plain = self.word_weight(core)
-            return max(plain, self.restored_weight(core)) if _tripled(core) else plain
+            return max(plain, self.restored_weight(core)) if _repeats(core) else plain
         # Marks at the edge may stand for letters: "!diot", "$cum".
         readings = {core, token} if len(token) > len(core) and any(c in LEET for c in token) else {core}
         readings = {r for r in readings if any(c in NUMBER for c in r) or sum(c in LEET for c in r) >= 3}

@@ -205,6 +205,12 @@ def test_toxic_words_behind_others_in_a_token_or_run():
     assert list(_scorer().sums(["s t u p i d i d i o t", "idiot/m0ron", "well-known", "a b c d"])) == [14.0, 14.0, 0.0, 0.0]
 
 
+def test_doubled_letters_are_decoded():
+    words = ["iidiioot", "stuupiid", "mmoorroonn", "idiott"]
+    assert list(_scorer().sums(words)) == [7.0] * len(words)
+    assert list(_scorer().sums(["good books", "all idiom"])) == [0.0, 0.0]
+
+
 def test_toxicity_edges(spark, docs):
     labels = spark.createDataFrame([(k, int(k % 2)) for k in range(40)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     rows = [(k, ("vile words here " if k % 2 else "kind words there ") + f"t{k} u{k} v{k}") for k in range(40)] + [(None, None), (50, ""), (50, "")]
