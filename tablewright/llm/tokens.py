@@ -10,7 +10,8 @@ File format, in one folder:
 Reading looks up the byte lengths of four tokens at once by control byte, and ids by rank, in numpy tables.
 
 Null and empty texts hold the end id alone. Documents with a null doc_id come first; rows that share a doc_id follow
-each other in the order of their contents. Strings of special tokens in a text are ordinary text.
+each other in the order of their contents. `round_trip` reads special-token strings in a
+text as the tokenizer file does; elsewhere they are ordinary text unless `special` is set.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ END_ID = 2
 BLOCK_TOKENS = 1 << 18
 #: Pieces a task remembers the ids of.
 MOST_PIECES = 1_000_000
+#: Characters of texts with special tokens, which are one piece each, that a task remembers.
+MOST_SPECIAL = 1 << 24
 #: Marks the first piece of a text, which has no blank before it; a lone surrogate is in no text.
 FIRST = "\ud800"
 BREAK = f" \n{FIRST}"
@@ -61,19 +64,21 @@ class PieceEncoder:
             self.new.append(piece)
             return number
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool = False) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.special = re.compile("|".join(names)) if names else None
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.forget()
 
     def forget(self) -> None:
-        self.known = self.Known()
+        self.known, self.special_size = self.Known(), 0
         self.ids, self.uncut = np.empty(0, np.uint32), np.empty(0, bool)
         self.begin, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
 
@@ -90,7 +95,7 @@ class PieceEncoder:
         whole = np.array([bool(b and b[-1] > " " and not b[-1].isspace() and not (b[1:2] if b[0] == " " else b[0]).isspace() and b != " ")
                           for b in bodies])
         broken = np.array([p[:1] == "\n" for p in new])
-        plain = whole & np.array(["\n" not in b for b in bodies])
+        plain = whole & np.array(["\n" not in b and not (self.special and self.special.search(b)) for b in bodies])
         begin, length = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
         made, size = [], len(self.ids)
         runs = np.flatnonzero(plain)
@@ -119,9 +124,12 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the end id, and the number of ids of each."""
-        if len(self.known) > MOST_PIECES:
+        if len(self.known) > MOST_PIECES or self.special_size > MOST_SPECIAL:
             self.forget()
-        cut = [(FIRST + t.replace("\n", BREAK)).split(" ") for t in texts]
+        # What a special token does to the text around it is the library's matter: such texts are encoded whole.
+        uncuttable = [bool(self.special and self.special.search(t)) for t in texts]
+        self.special_size += sum(len(t) for t, u in zip(texts, uncuttable) if u)
+        cut = [[FIRST + t] if u else (FIRST + t.replace("\n", BREAK)).split(" ") for t, u in zip(texts, uncuttable)]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         numbers = self._numbers([p for pieces in cut for p in pieces])
         self._learn()
@@ -177,10 +185,10 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, special: bool = False) -> DataFrame:
     """Documents as ids in ascending order: bucket, place, doc_id, n, ids (compressed 16- or 32-bit words)."""
     import zstandard
 
@@ -191,9 +199,9 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     bucket = F.coalesce(F.size(F.filter(edges, lambda b: b < F.col("doc_id"))), F.lit(0))
 
     def encode(batch):
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = PieceEncoder(tokenizer)
-        ids, lengths = _ENCODERS[tokenizer].encode([t or "" for t in batch.column("text").to_pylist()])
+        if (tokenizer, special) not in _ENCODERS:
+            _ENCODERS[tokenizer, special] = PieceEncoder(tokenizer, special)
+        ids, lengths = _ENCODERS[tokenizer, special].encode([t or "" for t in batch.column("text").to_pylist()])
         ends = np.cumsum(lengths)
         small = zstandard.ZstdCompressor(level=1)
         blobs = []
@@ -233,10 +241,10 @@ def frequencies(ids: DataFrame) -> list[int]:
     return [r["id"] for r in sorted(counted, key=lambda r: (-r["uses"], r["id"]))]
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
+def write(docs: DataFrame, folder: str, tokenizer: str, special: bool = False) -> None:
     """Encode documents and write the files of the format below `folder`."""
     spark = docs.sparkSession
-    ids = encoded(docs, tokenizer)
+    ids = encoded(docs, tokenizer, special)
     order = frequencies(ids)
     spark.createDataFrame(list(enumerate(order)), "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(max(order, default=0) + 1, np.uint32)
@@ -303,5 +311,5 @@ def read(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write documents to a fresh folder and read their digests back."""
     folder = work_folder(docs.sparkSession, "tokens")
-    write(docs, folder, tokenizer)
+    write(docs, folder, tokenizer, special=True)
     return read(docs.sparkSession, folder, digest=True)

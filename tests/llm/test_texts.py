@@ -175,6 +175,19 @@ def test_documents_encode_as_whole_texts(texts, tokenizer):
         assert ids[a:b].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [tokens.END_ID]
 
 
+def test_special_tokens_are_read_as_the_library_does(spark, docs, tokenizer):
+    import zlib
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a b\nc <|endoftext|>\n  x<|endoftext|><|endoftext|> y", "no mark <|endof text|> here", "a  b\n c"]
+    want = [plain.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for t in texts]
+    ids, sizes = tokens.PieceEncoder(tokenizer, special=True).encode(texts)
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+    got = tokens.round_trip(docs(list(enumerate(texts))), tokenizer).orderBy("doc_id").collect()
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array(w, "<u4").tobytes()) for w in want]
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
