@@ -142,10 +142,10 @@ registry.add("first_valid", """
     select unnest(['l_orderkey', 'l_partkey', 'l_quantity', 'l_extendedprice', 'l_tax', 'l_discount', 'l_linestatus',
                    'l_returnflag']) as "ColumnName", (select count(*) from lineitem) as "TotalRecords", true as close""")
 def approx_distinct_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Sketched counts that are within a tenth of the exact ones."""
+    """Sketched counts that are within 5 % of the exact ones."""
     rough = profile.approx_distinct_summary(lines(spark, sf))
     exact = profile.distinct_value_summary(lines(spark, sf)).select("ColumnName", F.col("DistinctCount").alias("exact"))
-    near = F.abs(F.col("DistinctCount") - F.col("exact")) <= F.col("exact") * 0.1
+    near = F.abs(F.col("DistinctCount") - F.col("exact")) <= F.col("exact") * 0.05
     return rough.join(exact, "ColumnName").select("ColumnName", "TotalRecords", near.alias("close"))
 
 

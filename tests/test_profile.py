@@ -147,3 +147,9 @@ def test_stored_profiles_append_and_compact(spark, database):
     assert table.count() == 8 and len(table.inputFiles()) == 1
     assert table.first().SourceTable == "sample"
     assert not any(n.endswith("bool_summary") for n in flows.store_profile(df.drop("ok"), "lake", "other", database, AS_OF))
+
+
+def test_sketched_counts_are_within_five_percent(spark):
+    df = spark.range(5000).selectExpr(*[f"id * {k} + {k} as c{k}" for k in range(1, 25)])
+    counts = [r.DistinctCount for r in profile.approx_distinct_summary(df).collect()]
+    assert len(counts) == 24 and all(abs(n - 5000) <= 250 for n in counts)
