@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import names, times, values
-from tablewright.operators import columns, filters, nested, paging, profile
+from tablewright.operators import columns, filters, nested, paging, profile, rowids
 from tablewright.registry.common import AS_OF, Registry, load
 from tablewright.schemas import BUDGET_LIST_COLUMNS, dataset_name_column, dataset_table_column
+from tablewright.session import work_folder
 
 registry = Registry()
 
@@ -190,6 +191,24 @@ registry.add("page_all", "select o_orderkey, o_custkey, o_totalprice from orders
     lambda spark, sf: paging.all_details(load(spark, sf, "orders"), F.col("o_orderstatus") == "O")
     .select("o_orderkey", "o_custkey", "o_totalprice"))
 
+registry.add("row_ids", """
+    select l_orderkey, l_linenumber, l_shipdate, row_number() over (order by l_shipdate desc, l_orderkey, l_linenumber) as row_id
+    from lineitem""")(
+    lambda spark, sf: rowids.numbered(
+        load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"),
+        [F.col("l_shipdate").desc(), F.col("l_orderkey"), F.col("l_linenumber")]))
+
+
+@registry.add("page_index", """
+    select o_orderkey, o_totalprice, row_id, (row_id + 499) // 500 as page
+    from (select *, row_number() over (order by o_totalprice, o_orderkey) as row_id from orders)
+    where row_id <= 1200 or row_id > 2000""")
+def page_index(spark: SparkSession, sf: str) -> DataFrame:
+    """A page index written once; the rows up to one offset and all those after another."""
+    path, orders = work_folder(spark, "page_index"), load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    rowids.write_pages(orders, [F.col("o_totalprice"), F.col("o_orderkey")], path, 500)
+    return rowids.read_page(spark, path, 0, 1200).unionByName(rowids.read_page(spark, path, 2000, orders.count()))
+
 
 def budgets(df: DataFrame) -> DataFrame:
     """Orders under the names of the budget list; fields orders do not have are NULL."""
