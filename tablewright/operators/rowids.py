@@ -31,14 +31,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def ranged(df: DataFrame, order: list[Column], part: str, place: str) -> DataFrame:
+def ranged(df: DataFrame, order: list[Column], part: str, place: str, unique: bool = False) -> DataFrame:
     """The rows in files of consecutive ranges, with the number of their range and their place in it.
 
-    `order` may name any sort; rows that it leaves tied follow one another as they came.
+    `order` may name any sort; rows that it leaves tied follow one another as they came. Where it leaves none tied,
+    `unique` saves the writing of their arrival.
     """
     arrival = free_name(df, "__arrival")
-    rows = written(df.withColumn(arrival, F.monotonically_increasing_id()), "rowid_rows")
-    keys = [*order, F.col(arrival)]
+    rows = df if unique else written(df.withColumn(arrival, F.monotonically_increasing_id()), "rowid_rows")
+    keys = order if unique else [*order, F.col(arrival)]
     placed = (rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(arrival)
               .withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE))}))
     return written(placed, "rowid_ranges")
