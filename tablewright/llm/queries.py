@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import contamination, lines, mixing, near, quality, repeats, secrets, tokens, toxicity, urls
+from tablewright.llm import (contamination, interleave, lines, mixing, near, quality, repair, repeats, secrets, tokens, toxicity, urls,
+                             whitening)
 from tablewright.registry.common import Registry, load
 
 registry = Registry()
@@ -61,3 +62,18 @@ def op1_toxicity(spark, sf):
 @registry.add("op8_source_mixing", mixing.SQL)
 def op8_source_mixing(spark, sf):
     return mixing.judged(load(spark, sf, "documents"))
+
+
+@registry.add("op11_sharding", interleave.SQL)
+def op11_sharding(spark, sf):
+    return interleave.digest(load(spark, sf, "documents"))
+
+
+@registry.add("op12_conversation_repair", repair.SQL)
+def op12_conversation_repair(spark, sf):
+    return repair.digest(load(spark, sf, "conversations"))
+
+
+@registry.add("op13_whitening")
+def op13_whitening(spark, sf):
+    return whitening.digest(load(spark, sf, "embeddings"))
