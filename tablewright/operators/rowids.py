@@ -27,7 +27,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     folder = work_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
