@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import names
-from tablewright.operators import columns, filters, joins, layout, nested, paging, profile, tables
+from tablewright.operators import columns, filters, joins, layout, named_files, nested, paging, profile, tables
 from tablewright.schemas import (INVOICE_MAP_KEYS, INVOICE_TYPED_KEYS, JOB_FILLED_IDS, LEAD_SOURCE_KEYS, dataset_name,
                                  dataset_schema)
 from tablewright.sources import archives, delimited, files, paged_json
@@ -134,6 +134,18 @@ def pull_dataset(spark: SparkSession, path: str, alias: str, record: T.StructTyp
     return dataset_frame(paged_json.records_of(pages), alias)
 
 
+def export_raw(frame: DataFrame, folder: str, organization: Column, alias: str, as_of: date) -> DataFrame:
+    """One CSV file per organisation, organization=/table=/<organisation>_<dataset>_<YYYYMMDD>.csv, replaced if it is there.
+
+    Returns what became of every file; an empty frame gives none.
+    """
+    name = dataset_name(alias)
+    if name is None:
+        raise ValueError(f"no dataset is called {alias}")
+    file = F.concat(organization, F.lit(f"_{name}_{as_of:%Y%m%d}.csv"))
+    return named_files.write_named(frame, folder, file, overwrite=True, organization=organization, table=F.lit(name))
+
+
 def collect_analytics(rows: DataFrame, accounts: DataFrame, instant: str, channel: str, user: str, view: str,
                       start: str, end: str) -> DataFrame:
     """Users per month, channel and view, with the attributes of the view's account."""

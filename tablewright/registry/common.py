@@ -94,3 +94,23 @@ def pack_records(df: DataFrame, member: str | None = None) -> DataFrame:
             yield pd.DataFrame({"path": [f"drop-{part}-{number}.zip"], "content": [packed.getvalue()]})
 
     return df.mapInPandas(pack, "path string, content binary")
+
+
+def pack_members(df: DataFrame) -> DataFrame:
+    """Rows (member, body) packed into zip archives, one per Arrow batch: path, content."""
+    def pack(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                for member, body in zip(batch["member"], batch["body"]):
+                    archive.writestr(member, body)
+            yield pd.DataFrame({"path": [f"members-{part}-{number}.zip"], "content": [packed.getvalue()]})
+
+    return df.select("member", "body").mapInPandas(pack, "path string, content binary")

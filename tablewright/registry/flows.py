@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators import columns, layout, nested
+from tablewright.functions import names
+from tablewright.operators import columns, layout, named_files, nested
 from tablewright.plans import flows
 from tablewright.registry.common import ARCHIVE_AS_OF, AS_OF, Registry, load, pack_records, relaxed, write_pages
 from tablewright.registry.nesting import (CALL_COLUMNS, CALL_ROWS_SQL, ITEMS_SQL, account_documents, call_records,
                                            invoice_texts)
+from tablewright.registry.storage import KIND_SQL, MARK_SQL, TYPE_SQL
 from tablewright.schemas import raw_schema
 from tablewright.session import work_database, work_folder
 from tablewright.sources import delimited
@@ -20,26 +23,28 @@ from tablewright.sources import delimited
 registry = Registry()
 
 
-@registry.add("flow_ledger_load", """
+LEDGER_NAME_SQL = f"""'GLENTRY.acme.' || {KIND_SQL} || '.' || cast(cast(date_trunc('quarter', o_orderdate) as date) as varchar)
+    || '_' || {MARK_SQL} || 'x.csv'"""
+
+
+@registry.add("flow_ledger_load", f"""
     select o_orderkey as "RECORDNO", o_custkey as "ACCOUNTKEY", o_totalprice as "AMOUNT", o_orderstatus as "STATE",
-           cast(o_orderdate as varchar) as "ddsReadTime", cast(cast(o_orderdate as date) as varchar) as "__Date"
-    from orders where o_orderstatus in ('F', 'O')""")
+           cast(o_orderdate as varchar) as "ddsReadTime", cast(cast(o_orderdate as date) as varchar) as "__Date", {TYPE_SQL} as kind
+    from (select *, {LEDGER_NAME_SQL} as name from orders) where {TYPE_SQL} is not null""")
 def flow_ledger_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Pipe files of three load types in a folder tree; the full and the change files become one table each."""
+    """Pipe files of every load type, told apart by their names alone, each type loaded to a table of its own."""
     folder, database = work_folder(spark, "ledger"), work_database(spark, "ledger")
     rows = load(spark, sf, "orders").select(
         F.col("o_orderkey").alias("RECORDNO"), F.col("o_custkey").alias("ACCOUNTKEY"), F.col("o_totalprice").alias("AMOUNT"),
-        F.col("o_orderstatus").alias("STATE"), F.col("o_orderdate").cast("string").alias("ddsReadTime"))
-    # Spark names its files itself, so the load type is in the name of the folder here and read from there
-    kinds = {"F": "GLENTRY.acme.all.2000-01-01_1", "O": "GLENTRY.acme.change.2000-01-02_upd_2", "P": "GLENTRY.acme.misc_3"}
-    for state, name in kinds.items():
-        rows.where(F.col("STATE") == state).write.option("header", "true").option("sep", "|").csv(f"{folder}/{name}")
-    result = None
-    for kind, pattern in (("fl", "*all.*"), ("upd", "*change.*_upd_*")):
-        flows.load_ledger(spark, f"{folder}/{pattern}", "all", rows.schema, f"{database}.glentry_{kind}")
-        part = spark.table(f"{database}.glentry_{kind}").withColumn("__Date", F.col("__Date").cast("string"))
-        result = part if result is None else result.unionByName(part)
-    return result
+        F.col("o_orderstatus").alias("STATE"), F.col("o_orderdate").cast("string").alias("ddsReadTime"),
+        F.expr(LEDGER_NAME_SQL.replace("varchar", "string")).alias("name"))
+    name = F.col("name")
+    named_files.write_named(rows, folder, names.file_part(name), rows.columns[:-1], "|", table=names.table_part(name), date=names.save_date(name))
+    loaded = []
+    for kind in ("fl", "cr", "upd", "del"):
+        flows.load_ledger(spark, folder, kind, rows.drop("name").schema, f"{database}.glentry_{kind}")
+        loaded.append(spark.table(f"{database}.glentry_{kind}").withColumns({"__Date": F.col("__Date").cast("string"), "kind": F.lit(kind)}))
+    return reduce(DataFrame.unionByName, loaded)
 
 
 MEMBER_SQL = """'ORD' || o_orderstatus || '.acme.' || case o_orderpriority when '1-URGENT' then 'all' when '2-HIGH' then 'change'
@@ -145,6 +150,24 @@ def flow_api_tags(spark: SparkSession, sf: str) -> DataFrame:
     return flows.pull_dataset(spark, path, "jtt", T.StructType.fromDDL("id bigint, tagTypeIds array<bigint>")).select("jobId", "tagTypeId", "tenantId")
 
 
+@registry.add("flow_raw_export", """
+    select o_orderkey as "jobId", unnest([o_orderkey, o_custkey]) as "tagTypeId", 'org' || left(o_orderpriority, 1) as "tenantId",
+           'organization=org' || left(o_orderpriority, 1) || '/table=job-tag-types/org' || left(o_orderpriority, 1)
+           || '_job-tag-types_20240115.csv' as file
+    from orders""")
+def flow_raw_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags pulled in pages and exported to one named file per organisation; the export is done twice, the second replaces."""
+    jobs = load(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("org"), F.substring("o_orderpriority", 1, 1)).alias("tenantId"),
+        F.array("o_orderkey", "o_custkey").alias("tagTypeIds"))
+    frame = flows.pull_dataset(spark, write_pages(jobs, "tenantId"), "jtt", T.StructType.fromDDL("id bigint, tagTypeIds array<bigint>"))
+    folder = work_folder(spark, "raw")
+    for rows in (frame.where("jobId % 2 = 0"), frame):
+        flows.export_raw(rows.select("jobId", "tagTypeId", "tenantId"), folder, F.col("tenantId"), "jtt", AS_OF)
+    back = spark.read.schema("jobId bigint, tagTypeId bigint, tenantId string").option("header", "true").option("recursiveFileLookup", "true").csv(folder)
+    return back.withColumn("file", F.regexp_extract("_metadata.file_path", "/(organization=.*)$", 1))
+
+
 @registry.add("flow_api_calls", CALL_ROWS_SQL)
 def flow_api_calls(spark: SparkSession, sf: str) -> DataFrame:
     raw = relaxed(raw_schema("calls"))

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 
 from tablewright.functions import names
-from tablewright.operators import columns, filters, joins, layout, profile, tables
-from tablewright.registry.common import (ARCHIVE_AS_OF, AS_OF, Registry, load, pack_records, write_pages)
+from tablewright.operators import columns, filters, joins, layout, moves, profile, tables
+from tablewright.operators import named_files as named_sink
+from tablewright.registry.common import (ARCHIVE_AS_OF, AS_OF, Registry, load, pack_members, pack_records, write_pages)
 from tablewright.session import work_database, work_folder
-from tablewright.sources import archives, catalog, delimited, files, paged_json
+from tablewright.sources import archives, catalog, delimited, files, paged_json, stores
 from tablewright.streaming import ingest
 
 registry = Registry()
@@ -265,26 +266,109 @@ registry.add("archive_split", ARCHIVE_SQL)(
     lambda spark, sf: layout.split_by_age(named_files(spark, sf), ARCHIVE_AS_OF).select("name", "action", "folder"))
 
 
-@registry.add("archive_restore", f"select o_orderkey, name from {NAMES_SQL}")
+#: Files of orders by kind and quarter, named as a ledger drop names them.
+QUARTER_SQL = (f"'GL' || left(o_orderpriority, 1) || '.acme.' || {KIND_SQL} || '.' || "
+               "cast(cast(date_trunc('quarter', o_orderdate) as date) as varchar) || '_x.csv'")
+QUARTERS_SQL = f"(select o_orderkey, o_totalprice, {QUARTER_SQL} as name from orders)"
+DAY_SQL = "replace(list_last(string_split(split_part(name, '_', 1), '.')), '-', '')"
+
+
+def drop_files(spark: SparkSession, sf: str, folder: str, label: str = "") -> None:
+    """Orders in files of their kind and quarter, each under its own name; a label goes in front of the file's ending."""
+    name = F.replace(F.expr(QUARTER_SQL.replace("varchar", "string")), F.lit("_x.csv"), F.lit(f"_x{label}.csv"))
+    named_sink.write_named(load(spark, sf, "orders").withColumn("name", name), folder, F.col("name"), ["o_orderkey", "o_totalprice"])
+
+
+def file_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all files below a folder with the path they came from."""
+    rows = spark.read.schema("o_orderkey bigint, o_totalprice double").option("header", "true").option("recursiveFileLookup", "true").csv(folder)
+    return rows.select("o_orderkey", "o_totalprice", F.col("_metadata.file_path").alias("path"))
+
+
+@registry.add("archive_restore", f"""
+    with aged as (select *, datediff('day', cast(substr(split_part(name, '.', 4), 1, 10) as date), date '2000-01-01') > 30 as old
+                  from {QUARTERS_SQL})
+    select 'archived' as step, case when old then 'date=' || substr({DAY_SQL}, 1, 6) else 'live' end as folder, name, o_orderkey from aged
+    union all select 'restored', 'live', name, o_orderkey from aged
+    union all select 'restored', 'date=' || substr({DAY_SQL}, 1, 6), name, o_orderkey from aged where old""")
 def archive_restore(spark: SparkSession, sf: str) -> DataFrame:
-    """Old items appended to the archive (twice, the second adds nothing), then restored next to the live ones."""
-    folder, items = work_folder(spark, "archive"), named_files(spark, sf)
-    nothing = items.where(F.lit(False))
-    first, live = layout.archive(items, nothing, ARCHIVE_AS_OF)
-    first.hint("rebalance", "folder").write.partitionBy("folder").parquet(folder)
-    stored = spark.read.schema(first.schema).parquet(folder)
-    again, _ = layout.archive(items, stored, ARCHIVE_AS_OF)
-    again.write.mode("append").partitionBy("folder").parquet(folder)
-    stored = spark.read.schema(first.schema).parquet(folder)
-    return layout.restore(stored.select("o_orderkey", "name"), live)
-
-
-@registry.add("ingest_new_files", f"select o_orderkey, name from {NAMES_SQL}")
+    """Rows by the folder their file is in: after old files were archived (twice, the second moves none) and after all came back."""
+    live, archived, path = (work_folder(spark, k) for k in ("live", "archived", "moves"))
+    drop_files(spark, sf, live)
+
+    def held(step: str) -> DataFrame:
+        at = F.regexp_extract("path", "/(date=[0-9]+)/[^/]*$", 1)
+        rows = file_rows(spark, live).unionByName(file_rows(spark, archived))
+        kept = work_folder(spark, f"held_{step}")
+        rows.select(F.lit(step).alias("step"), F.when(at == "", "live").otherwise(at).alias("folder"),
+                    F.substring_index("path", "/", -1).alias("name"), "o_orderkey").write.parquet(kept)
+        return spark.read.parquet(kept)
+
+    for run in ("1", "2"):
+        moves.archive_old(spark, live, archived, path, run, ARCHIVE_AS_OF)
+    before = held("archived")
+    moves.restore_all(spark, archived, live, path, "3")
+    return before.unionByName(held("restored"))
+
+
+@registry.add("ingest_new_files", f"""
+    select split_part(name, '.', 1) as "table", {DAY_SQL} as date, substr(name, instr(name, '.') + 1) as file,
+           case when contains(name, 'all.') then 'first' else 'second' end as run, 'copied' as state, o_orderkey, o_totalprice
+    from {QUARTERS_SQL}""")
 def ingest_new_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Names of a source copied next to those already there, none of them twice."""
-    items = named_files(spark, sf)
-    there = items.where(F.contains(F.col("name"), F.lit("all.")))
-    return there.unionByName(joins.not_present(items, there, ["name"]))
+    """A folder of full loads copied to table=/date=/, then all files; the rows of every copy with the run that made it."""
+    source, full, target, path = (work_folder(spark, k) for k in ("drop", "full", "copied", "moves"))
+    drop_files(spark, sf, source)
+    listed = files.inventory(spark, source).select(F.col("path").alias("source"), F.concat(F.lit(f"{full}/"), "name").alias("target"))
+    moves.copy_files(spark, listed.where(F.contains("target", F.lit("all."))), path, "0")
+    for folder, run in ((full, "first"), (source, "second"), (source, "third")):
+        moves.copy_new(spark, folder, target, path, run)
+    made = moves.ledger(spark, path).where("state = 'copied' and run <> '0'").select("run", "state", F.col("target").alias("made"))
+    rows = file_rows(spark, target)
+    place = F.regexp_extract("path", "/(table=.*)$", 1)
+    return (rows.join(made, place == F.regexp_extract("made", "/(table=.*)$", 1))
+            .select(F.regexp_extract("path", "/table=([^/]*)/", 1).alias("table"), F.regexp_extract("path", "/date=([^/]*)/", 1).alias("date"),
+                    F.substring_index("path", "/", -1).alias("file"), "run", "state", "o_orderkey", "o_totalprice"))
+
+
+MEMBER_NAME_SQL = QUARTER_SQL.replace("'_x.csv'", "'_' || cast(floor(o_orderkey / 40000) as integer) || '.csv'")
+
+
+@registry.add("archive_members", f"""
+    select split_part(name, '.', 1) as "table", {DAY_SQL} as date, substr(name, instr(name, '.') + 1) as file, o_orderkey, o_totalprice
+    from (select o_orderkey, o_totalprice, {MEMBER_NAME_SQL} as name from orders)""")
+def archive_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives landed as files, their members taken out as files of their own; a second run finds them there."""
+    zips, target, path = (work_folder(spark, k) for k in ("zips", "members", "moves"))
+    member = F.expr(MEMBER_NAME_SQL.replace("varchar", "string").replace("integer", "int"))
+    lines = load(spark, sf, "orders").groupBy(member.alias("member")).agg(F.collect_list(F.to_csv(F.struct("o_orderkey", "o_totalprice"))).alias("lines"))
+    body = F.concat(F.lit("o_orderkey,o_totalprice\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    stores.save(pack_members(lines.select("member", body.alias("body"))), zips)
+    for run in ("1", "2"):
+        moves.unpack_new(spark, zips, target, path, run)
+    return file_rows(spark, target).select(
+        F.regexp_extract("path", "/table=([^/]*)/", 1).alias("table"), F.regexp_extract("path", "/date=([^/]*)/", 1).alias("date"),
+        F.substring_index("path", "/", -1).alias("file"), "o_orderkey", "o_totalprice")
+
+
+@registry.add("export_named", """
+    select o_orderkey, case when day = '20240115' then o_totalprice else -o_totalprice end as o_totalprice,
+           'organization=' || o_orderstatus || '/table=orders/' || o_orderstatus || '_orders_' || day || '.csv' as file, 'written' as state
+    from orders, (values ('20240115'), ('20240116')) d(day)
+    where o_orderstatus <> 'P' or day = '20240116'""")
+def export_named(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports of organisations and days, each one file of its own name; a later run leaves files that are there."""
+    path = work_folder(spark, "named")
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("org"))
+    first, again = orders.where("org <> 'P'"), orders.withColumn("o_totalprice", F.lit(0.0)).where("org = 'F'")
+    second = orders.withColumn("o_totalprice", -F.col("o_totalprice"))
+    for rows, day, over in ((first, "20240115", False), (again, "20240115", False), (again, "20240116", False), (second, "20240116", True)):
+        report = named_sink.write_named(
+            rows, path, F.concat("org", F.lit(f"_orders_{day}.csv")), ["o_orderkey", "o_totalprice"], overwrite=over,
+            order=[F.col("o_orderkey")], organization=F.col("org"), table=F.lit("orders"))
+    rows = file_rows(spark, path).withColumn("file", F.regexp_extract("path", "/(organization=.*)$", 1))
+    state = report.select("name", "state").unionByName(report.select(F.regexp_replace("name", "20240116", "20240115").alias("name"), "state"))
+    return rows.join(state, F.col("file") == F.col("name")).select("o_orderkey", "o_totalprice", "file", "state")
 
 
 @registry.add("table_create", """select *, 'orders' as "__source", '2024-01-15' as "__Date" from orders""")
