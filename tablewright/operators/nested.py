@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import records
-from tablewright.schemas import (CALL_DEEP_KEYS, CALL_OPTIONAL_KEY, CALL_SHALLOW_KEYS, ITEM_KEYS, ITEM_NESTED_KEYS,
-                                 call_schema, invoice_item_schema)
+from tablewright.schemas import (CALL_DEEP_KEYS, CALL_SHALLOW_KEYS, ITEM_KEYS, ITEM_NESTED_KEYS, call_schema,
+                                 invoice_item_schema)
 
 
 def explode_ids(df: DataFrame, array: str, name: str, **kept: str) -> DataFrame:
@@ -34,42 +34,50 @@ def explode_profiles(df: DataFrame, account: str, outer: str, inner: str) -> Dat
             .select("id", "Account", "webProperty", F.col("v.name").alias("View"), F.col("v.id").alias("viewId")))
 
 
-def parse_items(df: DataFrame, items: str = "items", invoice_id: str = "id") -> DataFrame:
+def parse_items(df: DataFrame, items: str = "items", invoice_id: str = "id", rejected: str | None = None) -> DataFrame:
     """One row per item of [{k=v, ...}, {...}] texts; rows without items give none.
 
-    Every key is found at its place in the order, so an item's own type is not mixed up with the type inside
-    one of its accounts.
+    Keys are found at the item's own level, in any order and with any missing, so an item's type is not mixed up with the
+    type inside one of its accounts. `rejected` names a column for the text of items that do not begin with a known key.
     """
     inside = records.unbraced(F.col(items), "[{", "}]")
     pieces = (df.where(F.col(items).isNotNull())
               .select(F.col(invoice_id).alias("invoiceId"), "tenantId", F.explode(F.split(inside, "\\}, \\{")).alias("item")))
-    values = records.without_null_words(records.ordered_values(F.col("item"), ITEM_KEYS))
-    own = pieces.select("invoiceId", "tenantId", values.alias("v")).select(
-        "invoiceId", "tenantId", *[records.value_at(F.col("v"), i).alias(k) for i, k in enumerate(ITEM_KEYS)])
-    inner = own.withColumns({
-        k: records.without_null_words(records.ordered_values(records.unbraced(F.col(k)), keys))
-        for k, keys in ITEM_NESTED_KEYS.items()})
-    flat = {f"{k}_{sub}": records.value_at(F.col(k), i)
-            for k, keys in ITEM_NESTED_KEYS.items() for i, sub in enumerate(keys)}
-    return inner.withColumns(flat).select(*invoice_item_schema().fieldNames())
+    cut = pieces.withColumn("own", records.pieces(F.col("item")))
+    own = cut.withColumn("own", records.in_order(F.col("item"), F.col("own"), ITEM_KEYS))
+    texts = {k: records.value_at(F.col("own"), ITEM_KEYS, k) for k in ITEM_KEYS}
+    inside = {f"of_{k}": F.nullif(texts[k], F.lit("null")) for k in ITEM_NESTED_KEYS}
+    inner = own.withColumns(inside).withColumns({f"of_{k}": records.unbraced(F.col(f"of_{k}")) for k in ITEM_NESTED_KEYS})
+    inner = inner.withColumns({f"in_{k}": records.pieces(F.col(f"of_{k}")) for k in ITEM_NESTED_KEYS})
+    inner = inner.withColumns({f"in_{k}": records.in_order(F.col(f"of_{k}"), F.col(f"in_{k}"), keys) for k, keys in ITEM_NESTED_KEYS.items()})
+    flat = {k: t for k, t in texts.items() if k not in ITEM_NESTED_KEYS}
+    flat |= {f"{k}_{sub}": records.value_at(F.col(f"in_{k}"), keys, sub) for k, keys in ITEM_NESTED_KEYS.items() for sub in keys}
+    # The word null stands for NULL.
+    shown = [F.nullif(flat[c], F.lit("null")).alias(c) if c in flat else F.col(c) for c in invoice_item_schema().fieldNames()]
+    return inner.select(*shown, *([records.rejected(F.col("item"), F.col("own")).alias(rejected)] if rejected else []))
 
 
 def shallow_keys(df: DataFrame, column: str = "leadCall", keys: tuple[str, ...] = CALL_SHALLOW_KEYS) -> DataFrame:
     return df.withColumns({f"{column}_{k}": F.col(column)[k] for k in keys})
 
 
-def deep_keys(df: DataFrame, column: str, parts: dict[str, tuple[str, ...]],
-              optional: dict[str, str] | None = None) -> DataFrame:
-    """Entries of a map that hold {k=v, ...} text, as <column>_<entry>_<key> columns."""
-    cleaned = {f"__{part}": records.ordered_values(
-        records.unbraced(records.tidy(F.col(column)[part])), keys, (optional or {}).get(part))
-        for part, keys in parts.items()}
-    flat = {f"{column}_{part}_{k}": records.value_at(F.col(f"__{part}"), i)
-            for part, keys in parts.items() for i, k in enumerate(keys)}
-    return df.withColumns(cleaned).withColumns(flat).drop(*cleaned)
+def deep_keys(df: DataFrame, column: str, parts: dict[str, tuple[str, ...]], rejected: str | None = None) -> DataFrame:
+    """Entries of a map that hold {k=v, ...} text, as <column>_<entry>_<key> columns.
+
+    `rejected` names a column for the texts, by entry, that do not begin with a known key.
+    """
+    texts = {part: F.col(f"__text_{part}") for part in parts}
+    plain = {f"__text_{part}": records.unbraced(records.tidy(F.col(column)[part])) for part in parts}
+    parsed = {f"__{part}": records.pieces(texts[part]) for part in parts}
+    ordered = {f"__{part}": records.in_order(texts[part], F.col(f"__{part}"), keys) for part, keys in parts.items()}
+    flat = {f"{column}_{part}_{k}": records.value_at(F.col(f"__{part}"), keys, k) for part, keys in parts.items() for k in keys}
+    if rejected:
+        entries = F.map_from_arrays(F.array(*map(F.lit, parts)), F.array(*[records.rejected(t, F.col(f"__{p}")) for p, t in texts.items()]))
+        flat[rejected] = F.map_filter(entries, lambda _, v: v.isNotNull())
+    return df.withColumns(plain).withColumns(parsed).withColumns(ordered).withColumns(flat).drop(*plain, *parsed)
 
 
 def parse_calls(df: DataFrame) -> DataFrame:
     """Call records with every known entry of the call map as a column of its own."""
-    wide = deep_keys(shallow_keys(df), "leadCall", CALL_DEEP_KEYS, CALL_OPTIONAL_KEY)
+    wide = deep_keys(shallow_keys(df), "leadCall", CALL_DEEP_KEYS)
     return wide.select(*call_schema().fieldNames())

@@ -33,7 +33,6 @@ CALL_DEEP_KEYS = {
     "reason": ("name", "active", "id", "lead"),
     "agent": ("name", "externalId", "id"),
 }
-CALL_OPTIONAL_KEY = {"customer": "importId"}
 INVOICE_MAP_KEYS = {
     "customer": ("id", "name"),
     "businessUnit": ("id", "name"),

@@ -6,29 +6,58 @@ from tablewright.functions import records
 from tablewright.operators import columns, nested
 
 
-def one(spark, text, keys, optional=None):
-    df = spark.createDataFrame([(text,)], "t string")
-    values = records.ordered_values(F.col("t"), keys, optional)
-    return [df.select(records.value_at(values, i)).first()[0] for i in range(len(keys))]
+def one(spark, text, keys):
+    df = spark.createDataFrame([(text,)], "t string").withColumn("r", records.in_order(F.col("t"), records.pieces(F.col("t")), keys))
+    row = df.select(*[records.value_at(F.col("r"), keys, k).alias(k) for k in keys], records.rejected(F.col("t"), F.col("r"))).first()
+    return list(row)[:-1], row[-1]
 
 
 def test_values_may_hold_commas_equals_and_line_breaks(spark):
-    assert one(spark, "a=1, 2, b=x=y\nz, c=", ("a", "b", "c")) == ["1, 2", "x=y\nz", ""]
+    assert one(spark, "a=1, 2, b=x=y\nz\t, c=", ("a", "b", "c")) == (["1, 2", "x=y\nz\t", ""], None)
 
 
-def test_text_out_of_order_gives_null(spark):
-    assert one(spark, "b=1, a=2", ("a", "b")) == [None, None]
-    assert one(spark, "{}", ("a", "b")) == [None, None]
-    assert one(spark, None, ("a", "b")) == [None, None]
+def test_keys_in_any_order_and_absent(spark):
+    assert one(spark, "b=1, a=2", ("a", "b")) == (["2", "1"], None)
+    assert one(spark, "a=1, c=3", ("a", "b", "c")) == (["1", None, "3"], None)
+    assert one(spark, "c=3", ("a", "b", "c")) == ([None, None, "3"], None)
+    assert one(spark, "ab=1, a=2, b=3", ("a", "ab", "b")) == (["2", "1", "3"], None)
+    assert one(spark, "b=1, b=2, a=3", ("a", "b")) == (["3", "1"], None)
+    assert one(spark, "", ("a", "b")) == ([None, None], None)
+    assert one(spark, None, ("a", "b")) == ([None, None], None)
 
 
-def test_optional_key(spark):
-    assert one(spark, "a=1, b=2, c=3", ("a", "b", "c"), "b") == ["1", "2", "3"]
-    assert one(spark, "a=1, c=3", ("a", "b", "c"), "b") == ["1", None, "3"]
+def test_what_fits_nothing_is_kept_as_rejected(spark):
+    assert one(spark, "no record at all", ("a", "b")) == ([None, None], "no record at all")
+    assert one(spark, "x=1, b=2", ("a", "b")) == ([None, "2"], "x=1, b=2")
+    assert one(spark, "{", ("a", "b")) == ([None, None], "{")
 
 
-def test_dollar_and_backslash_survive(spark):
-    assert one(spark, "a=$1 \\ x, b=\\$2", ("a", "b")) == ["$1 \\ x", "\\$2"]
+def test_keys_inside_braces_are_not_the_records_own(spark):
+    assert one(spark, "a={b=1, c={a=5, b={a=9}}, d={}}, b=2", ("a", "b")) == (["{b=1, c={a=5, b={a=9}}, d={}}", "2"], None)
+    assert one(spark, "a=[{b=1}, {b=2}], b=3", ("a", "b")) == (["[{b=1}, {b=2}]", "3"], None)
+    deep = "{" + ", ".join(f"x={{y={k}}}" for k in range(3000)) + "}"
+    assert one(spark, f"a={deep}, b=2", ("a", "b")) == ([deep, "2"], None)
+
+
+def test_marks_of_other_formats_survive(spark):
+    assert one(spark, 'a=$1 \\ x, b=\\$2 "q", c=\\', ("a", "b", "c")) == (["$1 \\ x", '\\$2 "q"', "\\"], None)
+
+
+def test_items_with_keys_absent_or_moved(spark):
+    texts = ["[{id=1, type=Service}, {total=5, itemGroup={rootId=9}, id=2}]", "[{generalLedgerAccount={type=T, number=7}, cost=null, id=3}]", "junk", "[{}]"]
+    df = spark.createDataFrame([(k, "t", t) for k, t in enumerate(texts)], "id bigint, tenantId string, items string")
+    rows = [r.asDict() for r in nested.parse_items(df, rejected="rest").orderBy("invoiceId", "id").collect()]
+    shown = [{k: v for k, v in r.items() if v is not None and k not in ("tenantId", "invoiceId")} for r in rows]
+    assert shown == [{"id": "1", "type": "Service"}, {"id": "2", "total": "5", "itemGroup_rootId": "9"},
+                     {"id": "3", "generalLedgerAccount_type": "T", "generalLedgerAccount_number": "7"}, {"rest": "junk"}, {}]
+
+
+def test_deep_entries_with_keys_absent_or_moved(spark):
+    df = spark.sql("select map('agent', '{id=4, name=Ann}', 'reason', 'nothing', 'campaign', '{category={id=7, name=web}, id=1}') as c")
+    row = nested.deep_keys(df, "c", {"agent": ("name", "externalId", "id"), "reason": ("name", "id"), "campaign": ("name", "id", "category")}, "rest").first()
+    assert (row.c_agent_name, row.c_agent_externalId, row.c_agent_id, row.c_reason_name) == ("Ann", None, "4", None)
+    assert (row.c_campaign_name, row.c_campaign_id, row.c_campaign_category) == (None, "1", "{id=7, name=web}")
+    assert row.rest == {"reason": "nothing"}
 
 
 def item(**values):
