@@ -50,17 +50,24 @@ def check_unique(source: DataFrame, keys: list[str]) -> None:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | list[str], update: str | list[str] | None = ALL,
-           check: bool = True) -> DataFrame:
-    """Target after the merge. update: ALL (every non-key column), a column, a list, or None to insert only."""
+           check: bool = True, order: str | None = None) -> DataFrame:
+    """Target after the merge. update: ALL (every non-key column), a column, a list, or None to insert only.
+
+    With `order`, a match updates a row only if its order is later than the one the target holds; NULL comes before all
+    others. So changes may arrive late, twice or in any order. The order itself is among the updated columns.
+    """
     source, spelled = _named_as(target, source), {c.lower(): c for c in target.columns}
     keys = [spelled.get(k.lower(), k) for k in as_list(keys)]
     updates = infer_updates(source.columns, keys) if update == ALL else [spelled.get(c.lower(), c) for c in as_list(update)]
+    order = spelled.get(order.lower(), order) if order else None
+    if order and updates and order not in updates:
+        updates.append(order)
     unknown = [c for c in [*keys, *updates] if c not in source.columns]
     if unknown:
         raise UnknownColumns(f"the source has no column {unknown}")
     if check:
         check_unique(source, keys)
-    merged = _updated(target, source, keys, updates) if updates else target
+    merged = _updated(target, source, keys, updates, order) if updates else target
     new = inserts(target, source, keys)
     return merged.unionByName(new.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in new.columns
                                            else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]))
@@ -84,19 +91,27 @@ def inserts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return new.unionByName(source.where(~_present(keys)))
 
 
-def _updated(target: DataFrame, source: DataFrame, keys: list[str], updates: list[str]) -> DataFrame:
+def later(new: Column, held: Column) -> Column:
+    """The new order comes after the one that is held."""
+    return new.isNotNull() & (held.isNull() | (new > held))
+
+
+def _updated(target: DataFrame, source: DataFrame, keys: list[str], updates: list[str], order: str | None) -> DataFrame:
     new = source.where(_present(keys)).select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         *[F.col(c).alias(f"__new_{c}") for c in updates],
         F.lit(True).alias("__found"))
     joined = target.join(new, [target[k] == new[f"__key_{k}"] for k in keys], "left")
-    return joined.select(*[_value(c, target, c in updates) for c in target.columns])
+    wins = F.col("__found")
+    if order:
+        wins = wins & later(F.col(f"__new_{order}").cast(target.schema[order].dataType), target[order])
+    return joined.select(*[_value(c, target, wins, c in updates) for c in target.columns])
 
 
-def _value(name: str, target: DataFrame, updated: bool) -> Column:
+def _value(name: str, target: DataFrame, wins: Column, updated: bool) -> Column:
     if not updated:
         return target[name]
-    return F.when(F.col("__found"), F.col(f"__new_{name}").cast(target.schema[name].dataType)).otherwise(
+    return F.when(wins, F.col(f"__new_{name}").cast(target.schema[name].dataType)).otherwise(
         target[name]).alias(name)
 
 

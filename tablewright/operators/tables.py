@@ -38,10 +38,10 @@ def create_table(df: DataFrame | None, name: str, partition_by: list[str] | None
     spark = frame.sparkSession
     recover(spark, name)
     if spark.catalog.tableExists(name):
-        _save(frame, f"{name}__new", partition_by)
+        save(frame, f"{name}__new", partition_by)
         swap_in(spark, name)
     else:
-        _save(frame, name, partition_by)
+        save(frame, name, partition_by)
 
 
 def overwrite_table(df: DataFrame | None, name: str, keep_previous: bool = False, as_of: date | None = None,
@@ -54,7 +54,7 @@ def overwrite_table(df: DataFrame | None, name: str, keep_previous: bool = False
     if not spark.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist")
     frame = columns.append_metadata(df, as_of, **metadata) if metadata else df
-    _save(frame, f"{name}__new", partition_columns(spark, name))
+    save(frame, f"{name}__new", partition_columns(spark, name))
     if spark.table(f"{name}__new").isEmpty():  # asked of the written copy, so the frame is computed once
         spark.sql(f"DROP TABLE {name}__new")
         return False
@@ -66,15 +66,17 @@ def drop_column(spark: SparkSession, name: str, column: str, keep_previous: bool
     recover(spark, name)
     layout = partition_columns(spark, name)
     # files hold one partition each, so the rows need not move as long as the partitions stay the same
-    _save(spark.table(name).drop(column), f"{name}__new", [c for c in layout if c != column], column in layout)
+    save(spark.table(name).drop(column), f"{name}__new", [c for c in layout if c != column], column in layout)
     swap_in(spark, name, keep_previous)
 
 
 def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | None = None,
                  update: str | list[str] | None = merge.ALL, declared: T.StructType | None = None,
-                 partition_by: list[str] | None = None, as_of: date | None = None, **metadata: object) -> None:
+                 partition_by: list[str] | None = None, as_of: date | None = None, order: str | None = None, **metadata: object) -> None:
     """Merge rows into the table, or create it from them when it is missing.
 
+    With `order`, a match updates a row only if its order is later than the one the table holds (see merge.upsert).
+
     Keys default to the required fields of the declared schema. A partitioned table whose partition columns are not
     updated has only the touched partitions rewritten: those the source names, and those that hold a matching row.
     The source is written out once first, so its plan runs once however often the merge reads it.
@@ -90,23 +92,23 @@ def upsert_table(source: DataFrame | None, name: str, keys: str | list[str] | No
     keys = merge.as_list(keys) or merge.infer_keys(declared)
     updates = merge.infer_updates(rows.columns, keys) if update == merge.ALL else merge.as_list(update)
     changes = f"{name}__changes"
-    _save(rows, changes, None)
+    save(rows, changes, None)
     try:
-        _merge_into(name, spark.table(changes), keys, updates)
+        _merge_into(name, spark.table(changes), keys, updates, order)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {changes}")
 
 
-def _merge_into(name: str, rows: DataFrame, keys: list[str], updates: list[str]) -> None:
+def _merge_into(name: str, rows: DataFrame, keys: list[str], updates: list[str], order: str | None) -> None:
     """Merge rows of a stored table: they are read several times, always the same, and their size is known."""
     spark = rows.sparkSession
     merge.check_unique(rows, keys)
     target, layout = spark.table(name), partition_columns(spark, name)
-    if layout and not set(layout) & set(updates):
+    if layout and not set(layout) & {*updates, order}:
         part = in_partitions(target, touched_partitions(target, rows, keys, layout), layout)
-        _replace_partitions(merge.upsert(part, rows, keys, updates, check=False), name, layout)
+        replace_partitions(merge.upsert(part, rows, keys, updates, check=False, order=order), name, layout)
         return
-    _save(merge.upsert(target, rows, keys, updates, check=False), f"{name}__new", layout)
+    save(merge.upsert(target, rows, keys, updates, check=False, order=order), f"{name}__new", layout)
     swap_in(spark, name)
 
 
@@ -153,23 +155,23 @@ def compact(spark: SparkSession, name: str, where: Column | None = None) -> None
     layout = partition_columns(spark, name)
     rows = spark.table(name)
     if not layout:
-        _save(rows.hint("rebalance"), f"{name}__new", [])
+        save(rows.hint("rebalance"), f"{name}__new", [])
         swap_in(spark, name)
         return
     chosen = rows if where is None else rows.where(where)
     if where is not None and len(chosen.inputFiles()) <= 1:
         return  # the partitions asked for are in one piece already
-    _replace_partitions(chosen, name, layout)
+    replace_partitions(chosen, name, layout)
 
 
-def _replace_partitions(df: DataFrame, name: str, layout: list[str]) -> None:
+def replace_partitions(df: DataFrame, name: str, layout: list[str], rebalance: bool = True) -> None:
     """Replace the partitions the frame holds rows of. Old files go only when the whole write commits."""
     conf = df.sparkSession.conf
     key = "spark.sql.sources.partitionOverwriteMode"
     before = conf.get(key)
     conf.set(key, "dynamic")  # insertInto takes the mode from the session only
     try:
-        df.hint("rebalance", *layout).write.mode("overwrite").insertInto(name)
+        (df.hint("rebalance", *layout) if rebalance else df).write.mode("overwrite").insertInto(name)
     finally:
         conf.set(key, before)
 
@@ -203,7 +205,7 @@ def recover(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE {name}__new")
 
 
-def _save(df: DataFrame, name: str, partition_by: list[str] | None, rebalance: bool = True) -> None:
+def save(df: DataFrame, name: str, partition_by: list[str] | None, rebalance: bool = True) -> None:
     writer = (df.hint("rebalance", *partition_by) if partition_by and rebalance else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

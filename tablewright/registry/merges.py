@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators import joins, merge, profile, tables
+from tablewright.operators import bucketed, joins, merge, profile, tables
 from tablewright.registry.common import Registry, load
 from tablewright.session import work_database, work_folder
 from tablewright.streaming import upserts
@@ -80,11 +80,38 @@ def merge_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name).select(*FIELDS)
 
 
+@registry.add("merge_bucketed", f"""
+    select o_orderkey, o_custkey, o_orderstatus, o_totalprice, case when o_orderkey in (select o_orderkey from ({SOURCE_SQL})) then 2 else 1 end as change
+    from ({UPSERT_SQL})""")
+def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes merged into a table in key buckets: the last of them first, then older ones, which change nothing."""
+    name = f"{work_database(spark, 'bucketed')}.orders"
+    bucketed.create(target(spark, sf).withColumn("change", F.lit(1)), name, "o_orderkey", 16)
+    changes = source(spark, sf).withColumn("change", F.lit(2))
+    older = changes.withColumns({"o_totalprice": F.lit(0.0), "change": F.lit(1)})
+    for part in (changes.where("o_orderkey % 2 = 0"), changes, older, older.where("o_orderkey % 3 = 0")):
+        bucketed.upsert(part, name, order="change")
+    return bucketed.rows(spark, name)
+
+
+registry.add("merge_in_order", f"""
+    with m as (select t.o_orderkey, t.o_custkey, t.o_orderstatus, t.o_totalprice, s.o_orderkey as k, s.o_custkey as c, s.o_orderstatus as st,
+                      s.o_totalprice as p from ({TARGET_SQL}) t full join ({SOURCE_SQL}) s on s.o_orderkey = t.o_orderkey)
+    select coalesce(o_orderkey, k) as o_orderkey, coalesce(o_custkey, c) as o_custkey,
+           case when o_orderkey is null or p > 200000 then st else o_orderstatus end as o_orderstatus,
+           case when o_orderkey is null or p > 200000 then p else o_totalprice end as o_totalprice,
+           case when k is null or (o_orderkey is not null and coalesce(p, 0) <= 200000) then 200000.0 else p end as at
+    from m""")(
+    lambda spark, sf: merge.upsert(
+        target(spark, sf).withColumn("at", F.lit(200000.0)), source(spark, sf).withColumn("at", F.col("o_totalprice")), "o_orderkey",
+        ["o_orderstatus", "o_totalprice"], order="at"))
+
+
 @registry.add("stream_upsert", f"""
     select o_orderkey, o_custkey, o_orderstatus, o_totalprice from ({UPSERT_SQL})
     union all select null, o_custkey, o_orderstatus, o_totalprice from orders where o_custkey % 50 = 0""")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Changes arriving as files, merged by runs of one stream; the last run finds nothing new.
+    """Changes arriving as files, merged by runs of one stream; older ones come after the last, then a run finds nothing new.
 
     A key changes up to three times in a batch, once without an order; rows without a key are all inserted.
     """
@@ -98,7 +125,8 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     other = last.withColumns({"o_orderstatus": F.lit("old"), "o_totalprice": F.lit(-1.0)})
     keyless = load(spark, sf, "orders").where("o_custkey % 50 = 0").select(F.lit(None).cast("bigint").alias("o_orderkey"), *FIELDS[1:])
     changes = numbered(last, 9).unionByName(numbered(other, 8)).unionByName(numbered(other, None)).unionByName(numbered(keyless, 1))
-    for batch in (first, changes, None):
+    late = numbered(other, 7).unionByName(numbered(other, 9))
+    for batch in (first, changes, late, None):
         if batch is not None:
             batch.write.mode("append").parquet(arrivals)
         upserts.upsert_stream(spark, arrivals, first.schema, name, ["o_orderkey", "bucket"], checkpoint, "change", ["bucket"])

@@ -1,4 +1,7 @@
-"""Streaming upsert: every micro-batch goes through the table merge, so a repeated batch changes nothing."""
+"""Streaming upsert: every micro-batch goes through the table merge, so a repeated batch changes nothing.
+
+With an order, files may arrive late: a change that is older than what the table holds is passed over, in whatever batch.
+"""
 
 from __future__ import annotations
 
@@ -30,13 +33,14 @@ def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, table:
                   update: str | list[str] | None = merge.ALL, format: str = "parquet", files_per_batch: int = 1000, timeout: int | None = None) -> None:
     """Merge the files not seen before into the table, batch by batch in order of arrival.
 
-    With `order`, several changes of one key inside a batch collapse to the last one. Give `partition_by` columns that
+    With `order`, several changes of one key inside a batch collapse to the last one, and a key is updated only by a later
+    change than the one it holds, so the table is the same in whatever order the files come. Give `partition_by` columns that
     are part of the key: then a batch rewrites only the partitions it names instead of the whole table.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, keys, order) if order else batch
-        tables.upsert_table(rows, table, keys, update, partition_by=partition_by)
+        tables.upsert_table(rows, table, keys, update, partition_by=partition_by, order=order)
 
     run = (spark.readStream.format(format).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(source)
            .writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
