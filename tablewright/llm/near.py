@@ -10,10 +10,10 @@ the same set are one class from the start. The join then works on classes:
    Near copies meet in few groups, however many they are.
 3. Opening a group compares whole sets, exactly, inside a task. First the members of each chunk are connected, then
    one class of each component with few others that have a small shingle in common.
-4. The token-group matrix holds for each component so found the union of its members' shared shingles. A class is
-   compared with a larger component only if it shares as many shingles with that union as a link demands: first one
-   class of each component, then whatever is still not connected. No link between two components can be missed, and no
-   list of all pairs is ever made.
+4. The token-group matrix holds for each group, a chunk's members of one component, the union of their rarest shared
+   shingles. A class asks a group of a larger component only if it shares as many shingles with that union as a link
+   demands: first one class of each component, then whatever is still not connected. No link between two components can
+   be missed, and no list of all pairs is ever made.
 
 Words are split at ASCII white space after A-Z are lower-cased; a text of fewer words is one shingle; one without words
 has an empty set and links with nothing. Null texts are empty. A null doc_id may link; it is never the smallest id while
@@ -84,7 +84,10 @@ def demanded(n: Column) -> Column:
 
 
 def _spread(docs: DataFrame, cut: Callable[[int], int]) -> DataFrame:
-    """One row per document (doc_id, n, sid) and one per shingle (sid, token) that several sets have among their smallest `cut(n)`."""
+    """One row per document (doc_id, n, sid) and one per shingle (sid, token) that several sets have among their smallest `cut(n)`.
+
+    A shingle's row says how many sets have it so (freq).
+    """
     buckets = parts(docs.sparkSession)
 
     def emit(batch):
@@ -107,14 +110,13 @@ def _spread(docs: DataFrame, cut: Callable[[int], int]) -> DataFrame:
             return
         token, owner = np.concatenate(tokens), np.concatenate(owners)
         bucket = (token % np.uint64(buckets)).astype(np.int32)
-        short = (token // np.uint64(buckets)).astype(np.uint32)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         some = np.flatnonzero(np.diff(cuts))
         yield pa.RecordBatch.from_pydict({
             "bucket": pa.array(some, pa.int32()), "doc_id": pa.nulls(len(some), pa.int64()), "n": pa.nulls(len(some), pa.int64()),
             "sid": pa.nulls(len(some), pa.int64()),
-            "tokens": [short[order[cuts[b]:cuts[b + 1]]].tobytes() for b in some],
+            "tokens": [token[order[cuts[b]:cuts[b + 1]]].tobytes() for b in some],
             "owners": [owner[order[cuts[b]:cuts[b + 1]]].tobytes() for b in some]})
 
     def share(batches):
@@ -123,26 +125,26 @@ def _spread(docs: DataFrame, cut: Callable[[int], int]) -> DataFrame:
             plain = batch.filter(pc.is_null(batch.column("tokens")))
             if plain.num_rows:
                 yield pa.RecordBatch.from_pydict({**{c: plain.column(c) for c in ("doc_id", "n", "sid")},
-                                                  "token": pa.nulls(plain.num_rows, pa.int64())})
+                                                  "token": pa.nulls(plain.num_rows, pa.int64()), "freq": pa.nulls(plain.num_rows, pa.int64())})
             for b, t, o in zip(*(batch.column(c).to_pylist() for c in ("bucket", "tokens", "owners"))):
                 if t is not None:
-                    held.setdefault(b, []).append((np.frombuffer(t, np.uint32), np.frombuffer(o, np.int64)))
-        for bucket, pieces in held.items():
+                    held.setdefault(b, []).append((np.frombuffer(t, np.int64), np.frombuffer(o, np.int64)))
+        for pieces in held.values():
             token, owner = (np.concatenate(x) for x in zip(*pieces))
             order = np.lexsort((owner, token))
             token, owner = token[order], owner[order]
             fresh = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
             token, owner = token[fresh], owner[fresh]
-            same = token[1:] == token[:-1]
-            shared = np.append(same, False) | np.append(False, same)
-            token, owner = token[shared].astype(np.int64) * buckets + bucket, owner[shared]
+            counts = np.diff(np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True]))))
+            freq = np.repeat(counts, counts)
+            token, owner, freq = token[freq > 1], owner[freq > 1], freq[freq > 1]
             for k in range(0, len(token), 1 << 16):
                 part = slice(k, k + (1 << 16))
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(len(token[part]), pa.int64()), "n": pa.nulls(len(token[part]), pa.int64()),
-                                                  "sid": owner[part], "token": token[part]})
+                                                  "sid": owner[part], "token": token[part], "freq": freq[part]})
 
     emitted = map_texts(docs.select("doc_id", "text"), emit, "bucket int, doc_id long, n long, sid long, tokens binary, owners binary")
-    return stored(emitted.repartitionById(buckets, F.col("bucket")).mapInArrow(share, "doc_id long, n long, sid long, token long"), "near_spread")
+    return stored(emitted.repartitionById(buckets, F.col("bucket")).mapInArrow(share, "doc_id long, n long, sid long, token long, freq long"), "near_spread")
 
 
 _CODES: list[WordCodes] = []
@@ -196,46 +198,58 @@ def _connect(sids: list[int], sets: list[np.ndarray]) -> Iterator[tuple[int, int
                 yield sids[now], sids[int(other)]
 
 
-def _across(members: list[tuple], queries: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Links of queries with members of other components, one for each component."""
-    index = _Sets([s for _, _, s in members])
-    component = np.array([c for _, c, _ in members])
-    for sid, own, found in queries:
-        hits = np.flatnonzero(index.linked(found) & (component != own))
-        for at in hits[np.unique(component[hits], return_index=True)[1]]:
-            yield sid, members[at][0]
+class _Members:
+    """The members of a chunk, asked by classes of other components."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]) -> None:
+        self.sids = [m[0] for m in members]
+        self.component = np.array([m[1] for m in members])
+        self.index = _Sets([m[2] for m in members])
+
+    def across(self, sid: int, own: int, found: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Links of a class with members of other components, one for each component."""
+        hits = np.flatnonzero(self.index.linked(found) & (self.component != own))
+        for at in hits[np.unique(self.component[hits], return_index=True)[1]]:
+            yield sid, self.sids[at]
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """Links found by opening groups. rows: chunk, query (false: member), sid, component, text."""
+    """Links found by opening groups. rows: chunk, query (false: member), sid, component, text.
+
+    A chunk's members, which are bounded, come first and are held; the classes that ask pass by one at a time.
+    """
 
     def run(batches):
-        held, current = [], None
-
-        def work():
-            known, members, queries = {}, [], []
-            for query, sid, component, text in held:
-                if sid not in known:
-                    known[sid] = shingles(text, _codes())
-                (queries if query else members).append((sid, component, known[sid]))
-            members = list({m[0]: m for m in members}.values())
-            if not members:
-                return None
-            found = list(_across(members, queries) if queries else _connect([m[0] for m in members], [m[2] for m in members]))
-            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+        links: list[tuple[int, int]] = []
+        members: dict[int, tuple] = {}
+        current, group = None, None
+
+        def alone():
+            """Links inside a chunk that nothing asked."""
+            return _connect([m[0] for m in members.values()], [m[2] for m in members.values()]) if members and group is None else ()
+
+        def emitted():
+            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("chunk", "query", "sid", "component"))
-            for chunk, *rest, text in zip(*columns, raw_texts(batch)):
+            for chunk, query, sid, component, text in zip(*columns, raw_texts(batch)):
                 if chunk != current:
-                    if held and (made := work()) is not None:
-                        yield made
-                    held, current = [], chunk
-                held.append((*rest, text))
-        if held and (made := work()) is not None:
-            yield made
-
-    return rows.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "a long, b long")
+                    links.extend(alone())
+                    current, members, group = chunk, {}, None
+                if not query:
+                    if sid not in members:
+                        members[sid] = (sid, component, shingles(text, _codes()))
+                elif members:
+                    group = group or _Members(list(members.values()))
+                    links.extend(group.across(sid, component, shingles(text, _codes())))
+                if len(links) >= 1 << 14:
+                    yield emitted()
+                    links = []
+        links.extend(alone())
+        yield emitted()
+
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "query").mapInArrow(run, "a long, b long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -246,21 +260,27 @@ def classes(docs: DataFrame) -> DataFrame:
     counted = spread.where("token IS NOT NULL").groupBy("sid").agg(F.count("*").alias("shared"))
     maybe = stored(counted.join(sets, "sid").where(F.col("shared") >= needed(F.col("n"))).select("sid", "n", "rep"), "near_maybe")
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    found = maybe.select("sid", "rep").join(texts, maybe["rep"].eqNullSafe(texts["rep"])).select("sid", "text")
-
     def own(batch):
         keep = [i for i, (sid, raw) in enumerate(zip(batch.column("sid").to_pylist(), raw_texts(batch)))
                 if len(s := shingles(raw, _codes())) and set_id(s) == sid]
         yield batch.take(pa.array(keep, pa.int64()))
 
-    texts = stored(map_texts(found, own, "sid long, text string"), "near_texts")
+    def named(batch):
+        sets_of = [shingles(raw, _codes()) for raw in raw_texts(batch)]
+        yield pa.RecordBatch.from_pydict({"sid": pa.array([set_id(s) if len(s) else None for s in sets_of], pa.int64()), "text": batch.column("text").cast(pa.string())})
+
+    known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
+    found = map_texts(maybe.join(known, "rep").select("sid", "text"), own, "sid long, text string")
+    # Rows without an id are found by their set; one text of each will do.
+    nameless = map_texts(docs.where("doc_id IS NULL").select("text"), named, "sid long, text string")
+    apart = nameless.join(maybe.where("rep IS NULL").select("sid"), "sid").groupBy("sid").agg(F.first("text").alias("text"))
+    texts = stored(found.unionByName(apart), "near_texts")
 
     whole = _spread(texts.select(F.col("sid").alias("doc_id"), "text"), int)
-    held = whole.where("token IS NOT NULL").groupBy("sid").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-    alive = stored(held.join(maybe, "sid").where(F.size("tokens") >= demanded(F.col("n"))).select("sid", "n", "tokens"), "near_alive")
+    held = whole.where("token IS NOT NULL").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("freq", "token"))).alias("tokens"))
+    alive = stored(held.join(maybe, "sid").where(F.size("tokens") >= demanded(F.col("n"))).select("sid", "n", F.col("tokens.token").alias("tokens")), "near_alive")
 
-    lead = F.col("tokens")[0].alias("lead")
+    lead = F.array_min("tokens").alias("lead")
     sizes = alive.groupBy(lead).agg(F.sum("n").alias("all"))
     part = F.pmod(F.xxhash64("sid"), F.ceil(F.col("all") / CHUNK_SHINGLES))
     placed = stored(alive.select("sid", "n", lead).join(sizes, "lead").select("sid", F.xxhash64("lead", part).alias("chunk")), "near_placed")
@@ -280,8 +300,7 @@ def classes(docs: DataFrame) -> DataFrame:
     bridged = _labelled(placed, links, "near_bridged")
 
     qualified = stored(_qualified(alive, bridged), "near_qualified")
-    places = bridged.select(F.col("component").alias("other"), "chunk").distinct()
-    asked = qualified.join(places, "other").join(bridged.select("sid", "component"), "sid").select("sid", "component", "chunk").distinct()
+    asked = qualified.join(bridged.select("sid", "component"), "sid").select("sid", "component", "chunk")
     one = asked.groupBy("component", "chunk").agg(F.min("sid").alias("sid"))
     links = links.unionByName(across(one, bridged, "near_one"))
     joined = _labelled(placed, links, "near_joined")
@@ -301,7 +320,7 @@ def _bridges(local: DataFrame, alive: DataFrame) -> DataFrame:
     later; what they connect needs no further comparison.
     """
     chosen = local.groupBy("component").agg(F.min("sid").alias("sid")).join(alive, "sid")
-    low = stored(chosen.select("sid", "component", F.explode(F.slice("tokens", 1, BRIDGE_SHINGLES)).alias("token")), "near_low")
+    low = stored(chosen.select("sid", "component", F.explode(F.slice(F.array_sort("tokens"), 1, BRIDGE_SHINGLES)).alias("token")), "near_low")
     hubs = low.groupBy("token").agg(F.min(F.struct("sid", "component")).alias("hub"), F.count("*").alias("k")).where("k > 1").select("token", "hub")
     pairs = low.join(hubs, "token").where("sid <> hub.sid").select("sid", "component", "hub").distinct()
     salted = pairs.select("*", F.xxhash64("hub.sid", F.pmod(F.xxhash64("sid"), F.lit(BRIDGE_SALTS))).alias("chunk"))
@@ -311,23 +330,25 @@ def _bridges(local: DataFrame, alive: DataFrame) -> DataFrame:
 
 
 def _qualified(alive: DataFrame, labels: DataFrame) -> DataFrame:
-    """The token-group matrix over components: sid, other (a component it may link with). The smaller one asks.
+    """The token-group matrix: sid, chunk (a chunk with members of another component that sid may link with).
 
-    Rows and unions are cut to the smallest tokens of each class, as many as hold some of any overlap that a link
-    demands (see `needed`). Tokens of one component only, which are most, leave before anything is joined.
+    A chunk's members of one component are a group. Rows and unions are cut to each class's rarest tokens, as many as
+    hold some of any overlap that a link demands (see `needed`); which ones come first does not matter as long as all classes
+    sort alike, and with rare tokens first a passage that many texts share is in few of them. Tokens of one component
+    only, which are most, leave before anything is joined. The smaller component asks.
     """
     ahead = F.size("tokens") - demanded(F.col("n")) + F.greatest(F.lit(1), F.floor(F.lit(EXTRA) * F.col("n")))
     forward = stored(alive.select("sid", F.explode(F.slice("tokens", F.lit(1), ahead.cast("int"))).alias("token"))
-                     .join(labels.select("sid", "component"), "sid"), "near_forward")
+                     .join(labels.select("sid", "component", "chunk"), "sid"), "near_forward")
     crossing = (forward.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                 .where("low <> high").select("token"))
     sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
     marked = stored(forward.join(crossing, "token", "left_semi").join(sizes, "component")
-                    .select("sid", "token", F.struct("size", "component").alias("home")), "near_marked")
-    cells = marked.groupBy("token", F.col("home").alias("other")).agg(F.count("*").alias("k")).drop("k")
-    counted = marked.join(cells, "token").where("home < other").groupBy("sid", "other").agg(F.count("*").alias("k"))
+                    .select("sid", "token", "chunk", F.struct("size", "component").alias("home")), "near_marked")
+    cells = marked.groupBy("token", F.col("home").alias("other"), F.col("chunk").alias("there")).agg(F.count("*").alias("k")).drop("k")
+    counted = marked.join(cells, "token").where("home < other").groupBy("sid", "other", "there").agg(F.count("*").alias("k"))
     return (counted.join(alive.select("sid", "n"), "sid").where(F.col("k") >= needed(F.col("n")))
-            .select("sid", F.col("other.component").alias("other")))
+            .select("sid", F.col("there").alias("chunk")).distinct())
 
 
 def _labelled(placed: DataFrame, links: DataFrame, label: str) -> DataFrame:
