@@ -10,8 +10,8 @@ the same set are one class from the start. The join then works on classes:
    Near copies meet in few groups, however many they are.
 3. Opening a group compares whole sets, exactly, inside a task. First the members of each chunk are connected, then
    one class of each component with few others that have a small shingle in common.
-4. Components so found are dealt into chunks of their own, the groups of the token-group matrix; it holds for each group
-   the union of its members' rarest shared shingles. A class asks a group of a larger component only if it shares as many shingles with that union as a link
+4. The token-group matrix holds for each group, a chunk's members of one component, the union of their rarest shared
+   shingles. A class asks a group of a larger component only if it shares as many shingles with that union as a link
    demands: first one class of each component, then whatever is still not connected. No link between two components can
    be missed, and no list of all pairs is ever made.
 
@@ -299,20 +299,16 @@ def classes(docs: DataFrame) -> DataFrame:
     links = links.unionByName(opened(_bridges(local, alive), "near_bridges"))
     bridged = _labelled(placed, links, "near_bridged")
 
-    # From here on the chunks are those of components, which are few, not of smallest shingles.
-    spans = bridged.join(alive.select("sid", "n"), "sid")
-    sizes = spans.groupBy("component").agg(F.sum("n").alias("all"))
-    grouped = stored(spans.join(sizes, "component").select("sid", F.xxhash64("component", part).alias("chunk"), "component"), "near_grouped")
-    qualified = stored(_qualified(alive, grouped), "near_qualified")
-    asked = qualified.join(grouped.select("sid", "component"), "sid").select("sid", "component", "chunk")
+    qualified = stored(_qualified(alive, bridged), "near_qualified")
+    asked = qualified.join(bridged.select("sid", "component"), "sid").select("sid", "component", "chunk")
     one = asked.groupBy("component", "chunk").agg(F.min("sid").alias("sid"))
-    links = links.unionByName(across(one, grouped, "near_one"))
-    joined = _labelled(grouped, links, "near_joined")
+    links = links.unionByName(across(one, bridged, "near_one"))
+    joined = _labelled(placed, links, "near_joined")
     found = joined.select("sid", "component")
     mixed_in = joined.groupBy("chunk").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rest = stored(asked.drop("component").join(found, "sid").join(mixed_in, "chunk")
                   .where("component <> low OR component <> high").select("sid", "chunk", "component"), "near_rest")
-    final = _labelled(grouped, links.unionByName(across(rest, joined, "near_rest_links")), "near_final")
+    final = _labelled(placed, links.unionByName(across(rest, joined, "near_rest_links")), "near_final")
     return (members.join(final.select("sid", "component"), "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("component")))
 
@@ -336,7 +332,7 @@ def _bridges(local: DataFrame, alive: DataFrame) -> DataFrame:
 def _qualified(alive: DataFrame, labels: DataFrame) -> DataFrame:
     """The token-group matrix: sid, chunk (a chunk with members of another component that sid may link with).
 
-    The members of a chunk are a group. Rows and unions are cut to each class's rarest tokens, as many as
+    A chunk's members of one component are a group; a class never asks its own chunk, which was opened as a whole. Rows and unions are cut to each class's rarest tokens, as many as
     hold some of any overlap that a link demands (see `needed`); which ones come first does not matter as long as all classes
     sort alike, and with rare tokens first a passage that many texts share is in few of them. Tokens of one component
     only, which are most, leave before anything is joined. The smaller component asks.
@@ -350,7 +346,7 @@ def _qualified(alive: DataFrame, labels: DataFrame) -> DataFrame:
     marked = stored(forward.join(crossing, "token", "left_semi").join(sizes, "component")
                     .select("sid", "token", "chunk", F.struct("size", "component").alias("home")), "near_marked")
     cells = marked.groupBy("token", F.col("home").alias("other"), F.col("chunk").alias("there")).agg(F.count("*").alias("k")).drop("k")
-    counted = marked.join(cells, "token").where("home < other").groupBy("sid", "other", "there").agg(F.count("*").alias("k"))
+    counted = marked.join(cells, "token").where("home < other AND chunk <> there").groupBy("sid", "other", "there").agg(F.count("*").alias("k"))
     return (counted.join(alive.select("sid", "n"), "sid").where(F.col("k") >= needed(F.col("n")))
             .select("sid", F.col("there").alias("chunk")).distinct())
 
