@@ -270,7 +270,8 @@ def classes(docs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"sid": pa.array([set_id(s) if len(s) else None for s in sets_of], pa.int64()), "text": batch.column("text").cast(pa.string())})
 
     known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("rep"), "text")
-    found = map_texts(maybe.join(known, "rep").select("sid", "text"), own, "sid long, text string")
+    # Both sides grow with the corpus, so neither is broadcast, also where a corpus is small.
+    found = map_texts(maybe.hint("merge").join(known, "rep").select("sid", "text"), own, "sid long, text string")
     # Rows without an id are found by their set; one text of each will do.
     nameless = map_texts(docs.where("doc_id IS NULL").select("text"), named, "sid long, text string")
     apart = nameless.join(maybe.where("rep IS NULL").select("sid"), "sid").groupBy("sid").agg(F.first("text").alias("text"))
