@@ -143,7 +143,8 @@ def append_partitioned(df: DataFrame, name: str, partition_by: list[str]) -> Non
     spark = df.sparkSession
     if "." in name:
         ensure_database(spark, name.rsplit(".", 1)[0])
-    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).saveAsTable(name)
+    writer = df.hint("rebalance", *partition_by).write.mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
 def compact(spark: SparkSession, name: str, where: Column | None = None) -> None:

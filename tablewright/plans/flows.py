@@ -125,8 +125,15 @@ def dataset_frame(records: DataFrame, alias: str) -> DataFrame:
     return columns.conform(records, schema) if schema else records
 
 
-def pull_dataset(spark: SparkSession, path: str, alias: str, record: T.StructType) -> DataFrame:
-    """All records of the pages below path, refused when a source has fewer than it announced."""
+def pull_dataset(spark: SparkSession, path: str, alias: str, record: T.StructType, rejects: str | None = None) -> DataFrame:
+    """All records of the pages below path, refused when a source has fewer than it announced.
+
+    With the name of a rejects table nothing is refused: pages that can be read are kept, the others are appended there.
+    """
+    if rejects:
+        good, bad = paged_json.sorted_out(spark, path, record)
+        tables.append_partitioned(bad, rejects, [])
+        return dataset_frame(paged_json.records_of(good), alias)
     pages = paged_json.read_pages(spark, path, record)
     short = joins.expected_rows(pages).where("not complete").take(1)
     if short:

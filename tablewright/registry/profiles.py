@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators import profile
+from tablewright.operators import profile, sketches
 from tablewright.registry.common import AS_OF, Registry, load
 from tablewright.plans import flows
 from tablewright.session import work_database
@@ -149,6 +151,28 @@ def approx_distinct_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rough.join(exact, "ColumnName").select("ColumnName", "TotalRecords", near.alias("close"))
 
 
+@registry.add("profile_united", """
+    select c as "ColumnName", (select count(*) from lineitem) as "TotalRecords", (select count(*) from lineitem) as "TotalValues",
+           true as distinct_close, true as quartiles_close, case c when 'l_returnflag' then (
+               select max(n) from (select count(*) as n from lineitem group by l_returnflag)) end as most
+    from (values ('l_orderkey'), ('l_quantity'), ('l_extendedprice'), ('l_returnflag')) v(c)""")
+def profile_united(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches stored for three days, united without a rescan, held against exact counts and ranks within the stated bounds."""
+    name, numbers = f"{work_database(spark, 'states')}.states", ["l_orderkey", "l_quantity", "l_extendedprice"]
+    rows = load(spark, sf, "lineitem").select(*numbers, "l_returnflag")
+    days = [AS_OF + timedelta(days=d) for d in range(3)]
+    for n, day in enumerate(days):
+        sketches.keep(sketches.state(rows.where(F.col("l_orderkey") % 3 == n), rows.columns), name, day)
+    rough = {r.ColumnName: r for r in sketches.profile_of(spark, name, days[0], days[2]).collect()}  # one row per column
+    ranks = [F.avg((F.col(c) <= rough[c][q]).cast("double")).alias(f"{c}{q}") for c in numbers for q in sketches.QUARTILES]
+    below = [F.avg((F.col(c) < rough[c][q]).cast("double")).alias(f"{c}<{q}") for c in numbers for q in sketches.QUARTILES]
+    exact = rows.agg(*ranks, *below, *[F.count_distinct(c).alias(f"{c}#") for c in rows.columns]).first()
+    checked = [(c, r.TotalRecords, r.TotalValues, abs(r.DistinctCount - exact[f"{c}#"]) <= 0.03 * exact[f"{c}#"],
+                all(exact[f"{c}<{q}"] - 0.01 <= share <= exact[f"{c}{q}"] + 0.01 for q, share in sketches.QUARTILES.items()) if c in numbers else True,
+                r.Frequent[0]["count"] if r.Frequent else None) for c, r in rough.items()]
+    return spark.createDataFrame(checked, "ColumnName string, TotalRecords long, TotalValues long, distinct_close boolean, quartiles_close boolean, most long")
+
+
 STORED_COLUMNS = """, 'lake' as "SourceDatabase", 'lineitem' as "SourceTable", '2024-01-15' as "__date" """
 
 

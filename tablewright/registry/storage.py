@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 from tablewright.functions import names
-from tablewright.operators import columns, filters, joins, layout, moves, profile, tables
+from tablewright.operators import columns, filters, joins, layout, moves, profile, rowids, tables
 from tablewright.operators import named_files as named_sink
 from tablewright.registry.common import (ARCHIVE_AS_OF, AS_OF, Registry, load, pack_members, pack_records, write_pages)
 from tablewright.session import work_database, work_folder
@@ -115,6 +115,40 @@ def paged_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return joins.expected_rows(pages).drop("page")
 
 
+NUMBERED_PAGES_SQL = """(select o_orderkey, left(o_orderpriority, 1) as source,
+    (row_number() over (partition by o_orderpriority order by o_orderkey) - 1) // 50 + 1 as page from orders)"""
+
+
+@registry.add("paged_quarantine", f"""
+    with p as materialized {NUMBERED_PAGES_SQL}, broken as (select distinct source, page from p where page % 7 in (3, 4)),
+    last as (select source, max(page) as page from p group by source)
+    select o_orderkey, source, cast(page as integer) as page, 'kept' as state from p where page % 7 not in (3, 4)
+    union all select null, source, cast(page as integer), 'broken' from broken
+    union all select null, b.source, cast(b.page as integer), case when b.page + 1 >= l.page then 'gap without an end' else 'gap of 2' end
+    from broken b join last l using (source) where b.page % 7 = 3""")
+def paged_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of which two in seven are cut off: records of the others, the broken ones with their number, and the gaps they leave."""
+    orders = load(spark, sf, "orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).alias("source"))
+    rows = rowids.numbered(orders, [F.col("source"), F.col("o_orderkey")])
+    firsts = rows.groupBy("source").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"))
+    page = (F.floor((F.col("row_id") - F.col("first")) / 50) + 1).cast("int")
+    paged = (rows.join(firsts, "source").groupBy("source", page.alias("page"), (F.col("last") - F.col("first") + 1).alias("totalCount"))
+             .agg(F.collect_list(F.struct("o_orderkey")).alias("data")))
+    more = F.col("page") * 50 < F.col("totalCount")
+    text = F.to_json(F.struct("page", F.lit(50).alias("pageSize"), "totalCount", more.alias("hasMore"), "data"))
+    path = work_folder(spark, "quarantine")
+    cut = F.when(F.col("page") % 7 > 4, text).when(F.col("page") % 7 < 3, text).otherwise(F.substring(text, F.lit(1), F.length(text) - 9))
+    paged.select(cut.alias("value"), "source").write.partitionBy("source").text(path)
+
+    good, bad = paged_json.sorted_out(spark, path, T.StructType.fromDDL("o_orderkey bigint"))
+    none = F.lit(None).cast("bigint").alias("o_orderkey")
+    kept = good.select(F.explode("data.o_orderkey").alias("o_orderkey"), "source", "page", F.lit("kept").alias("state"))
+    missing = paged_json.gaps(good).select(none, "source", F.col("first").alias("page"), F.coalesce(
+        F.concat(F.lit("gap of "), (F.col("last") - F.col("first") + 1).cast("string")), F.lit("gap without an end")).alias("state"))
+    out = kept.unionByName(bad.select(none, "source", "page", F.col("reason").alias("state"))).unionByName(missing)
+    return out.withColumn("page", F.col("page").cast("int"))
+
+
 registry.add("column_metadata", """
     select column_name as "COLUMN_NAME", data_type as "DATA_TYPE", ordinal as "ORDINAL_POSITION", 'YES' as "IS_NULLABLE", n as "Nulls"
     from (values ('l_orderkey', 'bigint', 1), ('l_partkey', 'bigint', 2), ('l_suppkey', 'bigint', 3), ('l_linenumber', 'int', 4),

@@ -128,6 +128,22 @@ def test_a_page_that_is_cut_off_stops_the_read(spark, tmp_path):
         paged_json.records_of(paged_json.read_pages(spark, str(tmp_path), T.StructType.fromDDL("id bigint"))).collect()
 
 
+def test_a_broken_page_costs_no_other_and_is_reported(spark, tmp_path, database):
+    def page(number, ids, more=True):
+        return json.dumps({"page": number, "pageSize": 2, "totalCount": 6, "hasMore": more, "data": [{"id": i} for i in ids]})
+
+    put(tmp_path / "source=a" / "1.json", page(1, [1, 2]) + "\n" + page(2, [3, 4])[:-8] + "\n" + page(3, [5, 6], False) + "\n")
+    put(tmp_path / "source=b" / "1.json", page(2, [7, 8]) + "\n" + page(3, ["x"]) + "\n" + '{"data": [{"id": 9}]}\n' + page(6, [10]) + "\n")
+    record = T.StructType.fromDDL("id bigint")
+    good, bad = paged_json.sorted_out(spark, str(tmp_path), record)
+    assert sorted((r.source, r.page, [d.id for d in r.data]) for r in good.collect()) == [("a", 1, [1, 2]), ("a", 3, [5, 6]), ("b", 2, [7, 8]), ("b", 6, [10])]
+    assert sorted((r.source, r.page or 0, r.reason, r.path.rsplit("/", 1)[1]) for r in bad.collect()) == [
+        ("a", 2, "broken", "1.json"), ("b", 0, "no envelope", "1.json"), ("b", 3, "broken", "1.json")]
+    assert sorted(tuple(r) for r in paged_json.gaps(good).fillna(-1).collect()) == [("a", 2, 2), ("b", 1, 1), ("b", 3, 5), ("b", 7, -1)]
+    rows = flows.pull_dataset(spark, str(tmp_path), "m", record, f"{database}.rejects")
+    assert rows.count() == 7 and spark.table(f"{database}.rejects").count() == 3
+
+
 def test_missing_pages_are_refused(spark, tmp_path):
     put(tmp_path / "source=a" / "1.json", json.dumps({"page": 1, "pageSize": 1, "totalCount": 2, "hasMore": True, "data": [{"id": 1}]}))
     with pytest.raises(ValueError):
