@@ -159,7 +159,12 @@ def unpack_new(spark: SparkSession, source: str, target: str, path: str, run: st
     """The members of a source's zip archives as files in table=/date=/ folders."""
     listed = files.inventory(spark, source, glob="*.zip")
     listed = files.recent(listed, since) if since else listed
-    return _run(spark, listed.select(F.col("path").alias("source"), F.lit(target).alias("target")), path, run, "unpack")
+    return unpack_files(spark, listed.select(F.col("path").alias("source"), F.lit(target).alias("target")), path, run)
+
+
+def unpack_files(spark: SparkSession, listed: DataFrame, path: str, run: str) -> DataFrame:
+    """Unpack the archives that a frame (source, target folder) names."""
+    return _run(spark, listed, path, run, "unpack")
 
 
 def archive_old(spark: SparkSession, live: str, archived: str, path: str, run: str, as_of: date, days_old: int = 30,

@@ -15,7 +15,7 @@ from tablewright.operators import named_files as named_sink
 from tablewright.registry.common import (ARCHIVE_AS_OF, AS_OF, Registry, load, pack_members, pack_records, write_pages)
 from tablewright.session import work_database, work_folder
 from tablewright.sources import archives, catalog, delimited, files, paged_json, stores
-from tablewright.streaming import ingest
+from tablewright.streaming import ingest, intake
 
 registry = Registry()
 
@@ -374,17 +374,44 @@ MEMBER_NAME_SQL = QUARTER_SQL.replace("'_x.csv'", "'_' || cast(floor(o_orderkey
 def archive_members(spark: SparkSession, sf: str) -> DataFrame:
     """Archives landed as files, their members taken out as files of their own; a second run finds them there."""
     zips, target, path = (work_folder(spark, k) for k in ("zips", "members", "moves"))
-    member = F.expr(MEMBER_NAME_SQL.replace("varchar", "string").replace("integer", "int"))
-    lines = load(spark, sf, "orders").groupBy(member.alias("member")).agg(F.collect_list(F.to_csv(F.struct("o_orderkey", "o_totalprice"))).alias("lines"))
-    body = F.concat(F.lit("o_orderkey,o_totalprice\n"), F.array_join("lines", "\n"), F.lit("\n"))
-    stores.save(pack_members(lines.select("member", body.alias("body"))), zips)
+    stores.save(packed_orders(spark, sf), zips)
     for run in ("1", "2"):
         moves.unpack_new(spark, zips, target, path, run)
+    return member_rows(spark, target)
+
+
+def packed_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """path, content of archives that hold orders by kind and quarter, in members of bounded size."""
+    member = F.expr(MEMBER_NAME_SQL.replace("varchar", "string").replace("integer", "int"))
+    lines = load(spark, sf, "orders").groupBy(member.alias("member")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))).alias("rows"))
+    body = F.concat(F.lit("o_orderkey,o_totalprice\n"), F.array_join(F.transform("rows", lambda r: F.to_csv(r)), "\n"), F.lit("\n"))
+    return pack_members(lines.select("member", body.alias("body")).repartition(4, "member").sortWithinPartitions("member"))
+
+
+def member_rows(spark: SparkSession, target: str) -> DataFrame:
     return file_rows(spark, target).select(
         F.regexp_extract("path", "/table=([^/]*)/", 1).alias("table"), F.regexp_extract("path", "/date=([^/]*)/", 1).alias("date"),
         F.substring_index("path", "/", -1).alias("file"), "o_orderkey", "o_totalprice")
 
 
+@registry.add("stream_archive_intake", f"""
+    select split_part(name, '.', 1) as "table", {DAY_SQL} as date, substr(name, instr(name, '.') + 1) as file, o_orderkey, o_totalprice,
+           1 as times from (select o_orderkey, o_totalprice, {MEMBER_NAME_SQL} as name from orders)""")
+def stream_archive_intake(spark: SparkSession, sf: str) -> DataFrame:
+    """A drop of archives sent twice under two names, taken in by runs of a stream; how often each member was unpacked."""
+    zips, target, path, checkpoint, made = (work_folder(spark, k) for k in ("zips", "members", "moves", "checkpoint", "packed"))
+    packed_orders(spark, sf).write.parquet(made)
+    packed = spark.read.parquet(made)
+    half = F.pmod(F.xxhash64("path"), F.lit(2)) == 0
+    for sent in (packed.where(half), packed.withColumn("path", F.concat(F.lit("again-"), "path")), packed.where(~half)):
+        stores.save(sent, zips)
+        intake.take_in(spark, zips, target, path, checkpoint)
+    times = moves.ledger(spark, path).where("step = 1").groupBy(F.regexp_extract("target", "/(table=.*)$", 1).alias("place")).agg(F.count("*").cast("int").alias("times"))
+    rows = member_rows(spark, target)
+    place = F.concat(F.lit("table="), rows["table"], F.lit("/date="), rows["date"], F.lit("/"), rows["file"])
+    return rows.join(times, place == times["place"]).drop("place")
+
+
 @registry.add("export_named", """
     select o_orderkey, case when day = '20240115' then o_totalprice else -o_totalprice end as o_totalprice,
            'organization=' || o_orderstatus || '/table=orders/' || o_orderstatus || '_orders_' || day || '.csv' as file, 'written' as state

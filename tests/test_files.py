@@ -195,3 +195,25 @@ def test_members_of_archives_land_as_files(spark, tmp_path):
     assert visible(target) == {"table=GL/date=20000101/acme.all.2000-01-01_x.csv": "text 0" * 1000,
                                "table=GL/date=20231230/acme.change.2023-12-30_cr_y.csv": "text 1" * 1000}
     assert sorted((r.run, r.state) for r in moves.ledger(spark, path).where("step = 1").collect()) == [("a", "copied")] * 2 + [("b", "present")] * 2
+
+
+def test_an_archive_sent_twice_under_two_names_lands_once(spark, tmp_path):
+    from tablewright.streaming import intake
+
+    source, target, path, checkpoint = tmp_path / "s", tmp_path / "t", str(tmp_path / "ledger"), str(tmp_path / "c")
+
+    def send(name, member, text):
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        with zipfile.ZipFile(source / name, "w") as out:
+            out.writestr(zipfile.ZipInfo(member), text)
+
+    send("one.zip", NAMES[0], "text 0")
+    send("same.zip", NAMES[0], "text 0")
+    intake.take_in(spark, str(source), str(target), path, checkpoint)
+    send("later/two.zip", NAMES[0], "text 0")
+    send("new.zip", NAMES[1], "text 1")
+    for _ in range(2):
+        intake.take_in(spark, str(source), str(target), path, checkpoint)
+    assert visible(target) == {"table=GL/date=20000101/acme.all.2000-01-01_x.csv": "text 0", "table=GL/date=20231230/acme.change.2023-12-30_cr_y.csv": "text 1"}
+    landed = moves.ledger(spark, path).where("step = 1").collect()
+    assert sorted((r.source.split("!")[1], r.state) for r in landed) == [(NAMES[0], "copied"), (NAMES[1], "copied")]
