@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,12 @@ def build_session(app_name: str = "tablewright", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+@cache
+def _local_root(application: str) -> str:
+    """One temporary folder per local session."""
+    return tempfile.mkdtemp(prefix="tablewright-")
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder named in spark.checkpoint.dir.
 
@@ -38,8 +45,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tablewright-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/tablewright/{label}-{uuid.uuid4().hex}"
 
 

@@ -18,8 +18,6 @@ def spark():
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g", "spark.sql.warehouse.dir": f"{home}/warehouse"})
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", f"{home}/shared")
     yield session
     session.stop()
 
