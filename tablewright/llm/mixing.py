@@ -6,8 +6,8 @@ The expected tokens of the sample are a given share of the corpus, whatever sing
 a probability above 1 are taken whole and the rest is raked to what is left. `reached` tells how near the margins come.
 
 Targets, unless given, are the tempered shares of the corpus: tokens of a value to the power of `temper`, so hot
-sources shrink and rare ones grow. Fixed rounds are run, each written to the shared folder: every cell moves by factors of its three values
-only, and the table of cells has one row per combination that occurs.
+sources shrink and rare ones grow. Fixed rounds are run, each step of them written to the shared folder, so that a plan
+holds one step: every cell moves by the factor of one value, and the table of cells has one row per combination that occurs.
 
 Null sources, languages and topics are values of their own. Null and empty texts have no tokens; cells without tokens
 keep weight 1. A decision depends only on doc_id, seed and cell: repeated rows stay or go together. An empty table
@@ -95,7 +95,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
             if sample is None:
                 factor = (weights.groupBy(margin).agg(F.sum("weight").alias("now")).join(wanted[margin], margin, "left")
                           .select(margin, F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now")).otherwise(0.0).alias("factor")))
-                weights = weights.join(factor, margin).select(*MARGINS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
+                weights = stored(weights.join(factor, margin).select(
+                    *MARGINS, "tokens", (F.col("weight") * F.col("factor")).alias("weight")), "mix_step")
                 continue
             whole = F.col("weight") >= F.col("tokens")
             now = weights.groupBy(margin).agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0)).alias("capped"),
@@ -105,9 +106,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
                 margin, F.when(taken <= 0, 0.0).when(aim < taken, aim / taken).otherwise(1.0).alias("shrink"),
                 F.when((aim > taken) & (F.col("free") > 0), (aim - F.col("capped")) / F.col("free")).otherwise(1.0).alias("grow"))
             # Only one of the two differs from 1; cells taken whole can shrink but not grow.
-            weights = weights.join(factor, margin).select(*MARGINS, "tokens", F.least(
-                F.col("tokens").cast("double"), F.col("weight") * F.col("shrink") * F.col("grow")).alias("weight"))
-        weights = stored(weights, "mix_round")
+            weights = stored(weights.join(factor, margin).select(*MARGINS, "tokens", F.least(
+                F.col("tokens").cast("double"), F.col("weight") * F.col("shrink") * F.col("grow")).alias("weight")), "mix_step")
     if sample is not None:
         budget = wanted[MARGINS[0]].agg(F.sum("target")).first()[0] or 0.0
         scale = _scale(weights.withColumn("most", F.col("tokens")), budget)
