@@ -7,7 +7,7 @@ words and those that were plain are then scored: log-odds of words and word begi
 summed over a document's distinct words and calibrated by logistic regression.
 
 Labels are learned only from rows whose crc32 of the doc_id is not held out. Null and empty texts have no words and
-score as such. Repeated rows and near copies count once in training. Without labels of both kinds every score is the
+score as such; a text or token of any length takes time in proportion to it. Repeated rows and near copies count once in training. Without labels of both kinds every score is the
 share of toxic labels (0 without any).
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import WordCodes, map_texts, stored, text_batches
 from tablewright.llm.near import shingles
 
-#: Most labelled rows that training looks at (those whose doc_id hashes lowest), and most features it keeps.
-TRAIN_ROWS, MOST_FEATURES = 12_000, 20_000
+#: Most labelled rows that training looks at (those whose doc_id hashes lowest).
+TRAIN_ROWS = 12_000
+#: Characters after which the decoder writes out what all its readings have in common.
+DECIDE_EVERY = 1 << 14
 #: Beginnings of words that are features, besides whole words.
 BEGINNINGS = range(3, 9)
 #: A feature is this many times as frequent in toxic texts, and in at least this share and number of them.
@@ -91,40 +94,82 @@ def character_model(corpus: np.ndarray, spellings: dict[str, float]) -> np.ndarr
     return np.log(0.5 * share(corpus) + 0.5 * share(marked))
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest reading of a token, words with blanks between: Viterbi over its lattice."""
-    best = {(0, 0): (0.0, "")}
-    before = ""
-    for ch in token:
-        options: list[tuple[str, float]] = []
-        if ch in NUMBER:
-            options.append((ch, 0.0))
-            if ch == before:
-                options.append(("", -1.0))
-        for letter in LEET.get(ch, ""):
-            options.append((letter, -1.0 if len(LEET[ch]) < 3 else -3.0))
-        if ch in SEPARATORS:
-            options.append(("", -0.5))
-        elif ch not in NUMBER:
-            options.append(("", -6.0))
-            if ch == before:
-                options.append(("", -1.0))
-        if not ch.isalnum():
-            options.append((" ", -0.5))
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, word) in best.items():
+@lru_cache(100_000)
+def _options(ch: str, repeated: bool) -> tuple[tuple[str, float], ...]:
+    """What a character may be read as, and at which cost."""
+    options: list[tuple[str, float]] = []
+    if ch in NUMBER:
+        options.append((ch, 0.0))
+        if repeated:
+            options.append(("", -1.0))
+    for letter in LEET.get(ch, ""):
+        options.append((letter, -1.0 if len(LEET[ch]) < 3 else -3.0))
+    if ch in SEPARATORS:
+        options.append(("", -0.5))
+    elif ch not in NUMBER:
+        options.append(("", -6.0))
+        if repeated:
+            options.append(("", -1.0))
+    if not ch.isalnum():
+        options.append((" ", -0.5))
+    return tuple(options)
+
+
+def _spelled(path: list | None) -> str:
+    """The letters of a chain of [chain before, letter]."""
+    letters = []
+    while path is not None:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
+def _shared(paths: list[list | None]) -> list | None:
+    """The longest chain that all chains begin with."""
+    path, *others = paths
+    chain = []
+    while path is not None:
+        chain.append(path)
+        path = path[0]
+    place = {id(link): k for k, link in enumerate(chain)}
+    at = 0
+    for path in others:
+        while path is not None and id(path) not in place:
+            path = path[0]
+        if path is None:
+            return None
+        at = max(at, place[id(path)])
+    return chain[at] if chain else None
+
+
+def restore(token: str, model: np.ndarray | list[list[float]]) -> str:
+    """The likeliest reading of a token, words with blanks between: Viterbi over its lattice.
+
+    Readings are chains of letters that share their beginnings, so time is in proportion to the token's length. What all
+    open readings have in common is taken off their chains on the way. `model` may come as rows, one per two letters.
+    """
+    rows = model if isinstance(model, list) else model.reshape(-1, SIZE).tolist()
+    best: dict[tuple[int, int], tuple[float, list | None]] = {(0, 0): (0.0, None)}
+    decided, before = [], ""
+    for at, ch in enumerate(token, 1):
+        options = _options(ch, ch == before)
+        following: dict[tuple[int, int], tuple[float, list | None]] = {}
+        for (a, b), (score, path) in best.items():
+            row = rows[a * SIZE + b]
             for letter, cost in options:
-                if letter == " ":
-                    state, value, text = (0, 0), score + cost + model[a, b, 0], word + letter
-                elif letter:
-                    c = NUMBER[letter]
-                    state, value, text = (b, c), score + cost + model[a, b, c], word + letter
+                if not letter:
+                    state, value = (a, b), score + cost
                 else:
-                    state, value, text = (a, b), score + cost, word
+                    c = NUMBER.get(letter, 0)  # 0 is the edge between two words
+                    state, value = (b, c) if c else (0, 0), score + cost + row[c]
                 if state not in following or value > following[state][0]:
-                    following[state] = (value, text)
+                    following[state] = (value, [path, letter] if letter else path)
         best, before = following, ch
-    return max(best.values())[1] if best else ""
+        if at % DECIDE_EVERY == 0 and (shared := _shared([path for _, path in best.values()])) is not None:
+            decided.append(_spelled(shared))
+            shared[:] = None, ""
+    top = max(score for score, _ in best.values())
+    return "".join(decided) + max(_spelled(path) for score, path in best.values() if score == top)
 
 
 def _repeats(word: str) -> bool:
@@ -140,7 +185,7 @@ class Scorer:
             return number
 
     def __init__(self, weights: dict[str, float], model: np.ndarray) -> None:
-        self.features, self.model = weights, model
+        self.features, self.model = weights, model.reshape(-1, SIZE).tolist()
         self.forget()
 
     def forget(self) -> None:
@@ -234,7 +279,7 @@ def learned_weights(train: DataFrame) -> dict[str, float]:
     lift = (F.col("t") + 0.5) / (toxic + 1) * (clean + 1) / (F.col("c") + 0.5)
     found = (map_texts(train, count, "feature string, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
              .where(F.col("t") >= max(LEAST_TEXTS, math.ceil(LEAST_SHARE * toxic))).withColumn("lift", lift).where(F.col("lift") >= LEAST_LIFT)
-             .orderBy(F.desc("t"), "feature").limit(MOST_FEATURES).collect())
+             .collect())  # the labelled sample bounds them
     return {r["feature"]: math.log(r["lift"]) for r in found}
 
 
