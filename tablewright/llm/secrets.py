@@ -2,8 +2,8 @@
 
 Base patterns give spans of three kinds. The method adds further candidates, long tokens of letters and digits, and
 counts for the hash of every candidate value how many distinct repositories and owners hold it. A value that many
-owners hold is a widely copied example; one that a single owner holds looks live. Long tokens that look live become
-spans of kind `owned`; base spans always stay.
+owners or many repositories hold is a widely copied example; one that a single owner holds in few repositories looks
+live; others are shared. Long tokens that look live become spans of kind `owned`; base spans always stay.
 
 Null texts are empty. A null owner or repository counts as one more owner or repository. Repeated rows are scanned each
 for itself and do not raise a value's frequencies. A value found in a third of all rows is reduced to its distinct
@@ -24,8 +24,9 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 #: Long tokens; those without a digit or without a letter are no candidates.
 LONG = r"[A-Za-z0-9_-]{24,}"
-#: Owners from which on a value is a widely copied example, and up to which it looks live.
-EXAMPLE_OWNERS, LIVE_OWNERS = 3, 1
+#: Owners or repositories from which on a value is a widely copied example, and up to which it looks live.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 4
+LIVE_OWNERS, LIVE_REPOSITORIES = 1, 2
 
 
 def found(text: Column, pattern: str, value: int = 0) -> Column:
@@ -75,8 +76,9 @@ def frequencies(found_values: DataFrame) -> DataFrame:
     pairs = found_values.select("hash", *null_safe).groupBy("hash", "owner", "repository").agg(F.count("*").alias("n"))
     owners = pairs.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     return (owners.groupBy("hash").agg(F.sum("repositories").alias("n_repositories"), F.count("*").alias("n_owners"))
-            .withColumn("standing", F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example")
-                        .when(F.col("n_owners") <= LIVE_OWNERS, "live").otherwise("shared")))
+            .withColumn("standing", F.when((F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repositories") >= EXAMPLE_REPOSITORIES), "example")
+                        .when((F.col("n_owners") <= LIVE_OWNERS) & (F.col("n_repositories") <= LIVE_REPOSITORIES), "live")
+                        .otherwise("shared")))
 
 
 def secrets(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
@@ -118,7 +120,7 @@ def digest(found_secrets: DataFrame) -> DataFrame:
 
 
 SQL = r"""
-WITH d AS (SELECT doc_id, source AS owner, source || '/' || lang AS repository, coalesce(text, '') AS text FROM documents),
+WITH d AS (SELECT doc_id, source AS owner, concat_ws('/', source, lang) AS repository, coalesce(text, '') AS text FROM documents),
 m AS (
   SELECT doc_id, owner, repository, 'assign' AS kind, 0 AS rank, regexp_extract_all(text, a, 0) AS hits,
     regexp_extract_all(text, a, 2) AS vals, string_split_regex(text, a) AS gaps
@@ -134,18 +136,22 @@ c AS (
   SELECT *, b + length(hit) AS e FROM s
   WHERE CASE kind WHEN 'assign' THEN length(val) >= 8
     WHEN 'long' THEN regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') ELSE true END),
+n AS (
+  SELECT val, count(DISTINCT coalesce('=' || owner, '')) AS owners,
+    count(DISTINCT {'o': coalesce('=' || owner, ''), 'r': coalesce('=' || repository, '')}) AS repositories FROM c GROUP BY val),
 f AS (
-  SELECT val, count(DISTINCT coalesce('=' || owner, '')) AS n_owners FROM c GROUP BY val),
+  SELECT val, CASE WHEN owners >= 3 OR repositories >= 4 THEN 'example' WHEN owners <= 1 AND repositories <= 2 THEN 'live'
+    ELSE 'shared' END AS standing FROM n),
 k AS (
-  SELECT c.*, n_owners FROM c JOIN f ON c.val = f.val
-  WHERE kind <> 'long' OR (n_owners <= 1 AND NOT EXISTS (
+  SELECT c.*, standing FROM c JOIN f ON c.val = f.val
+  WHERE kind <> 'long' OR (standing = 'live' AND NOT EXISTS (
     SELECT 1 FROM c AS o WHERE o.doc_id = c.doc_id AND o.kind <> 'long' AND o.b < c.e AND c.b < o.e))),
 g AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex,
     string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) FILTER (kind <> 'long') AS base,
     string_agg(CASE kind WHEN 'long' THEN 'owned' ELSE kind END || ':' || b || ':' || e, ',' ORDER BY b, rank) AS spans,
-    count(*) FILTER (n_owners <= 1) AS n_live, count(*) FILTER (n_owners >= 3) AS n_example
+    count(*) FILTER (standing = 'live') AS n_live, count(*) FILTER (standing = 'example') AS n_example
   FROM k GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
