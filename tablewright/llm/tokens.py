@@ -30,8 +30,12 @@ from tablewright.session import work_folder
 END_ID = 2
 #: Tokens in a block, unless one document alone has more.
 BLOCK_TOKENS = 1 << 18
-#: Pieces a task remembers the ids of.
+#: Pieces a worker remembers the ids of; beyond, the half seen most often stays.
 MOST_PIECES = 1_000_000
+#: Words a worker remembers besides, for pieces that differ by the marks behind them.
+MOST_WORDS = 200_000
+#: Longer pieces do not outlive a thinning.
+LONG_PIECE = 64
 #: Characters of texts with special tokens, which are one piece each, that a task remembers.
 MOST_SPECIAL = 1 << 24
 #: Marks the first piece of a text, which has no blank before it; a lone surrogate is in no text.
@@ -39,6 +43,8 @@ FIRST = "\ud800"
 BREAK = f" \n{FIRST}"
 #: New pieces that are encoded in one run.
 RUN_PIECES = 2000
+#: A piece of Latin letters with marks behind: the pre-tokenizer of byte-level BPE makes two words of it, whatever stands around.
+WORD = re.compile(r"(\n?\ud800)?([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
 
 LENGTHS = np.stack([(np.arange(256) >> shift) & 3 for shift in (0, 2, 4, 6)], 1).astype(np.int64) + 1
 
@@ -64,7 +70,25 @@ class PieceEncoder:
             self.new.append(piece)
             return number
 
+    class Words(dict):
+        """Words, their blank included, to ids: what the library's model makes of one pre-tokenized word."""
+
+        def __init__(self, model) -> None:
+            super().__init__()
+            from tokenizers import pre_tokenizers
+
+            self.model = model
+            signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.signs = {c: signs.pre_tokenize_str(chr(c))[0][0] for c in (32, *range(33, 127), *range(0xC0, 0x250))}
+
+        def __missing__(self, word: str) -> tuple[int, ...]:
+            if len(self) >= MOST_WORDS:
+                self.clear()
+            ids = self[word] = tuple(t.id for t in self.model.tokenize(word.translate(self.signs)))
+            return ids
+
     def __init__(self, path: str, special: bool = False) -> None:
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,21 +99,66 @@ class PieceEncoder:
         names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.special = re.compile("|".join(names)) if names else None
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.forget()
-
-    def forget(self) -> None:
+        made = json.loads(self.tokenizer.to_str())
+        cutter = made["pre_tokenizer"] or {}
+        # Words go straight to the model where the file has nothing but the byte-level cut in front of it.
+        straight = (cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+                    and not made["normalizer"] and all(t["special"] for t in made["added_tokens"]))
+        self.words = self.Words(self.tokenizer.model) if straight else None
         self.known, self.special_size = self.Known(), 0
-        self.ids, self.uncut = np.empty(0, np.uint32), np.empty(0, bool)
+        self.ids, self.uncut, self.uses = np.empty(0, np.uint32), np.empty(0, bool), np.empty(0, np.int64)
         self.begin, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def thin(self) -> None:
+        """Keep the pieces seen twice or more, at most half of the room and the most frequent ones; uses are halved."""
+        pieces = list(self.known)
+        short = np.fromiter(map(len, pieces), np.int64, len(pieces)) <= LONG_PIECE
+        kept = np.flatnonzero((self.uses > 1) & short)
+        if len(kept) > MOST_PIECES // 2:
+            kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[:MOST_PIECES // 2]])
+        length = self.length[kept]
+        begin = np.cumsum(length) - length
+        self.ids = self.ids[np.arange(length.sum()) + np.repeat(self.begin[kept] - begin, length)]
+        self.begin, self.length, self.uncut, self.uses = begin, length, self.uncut[kept], self.uses[kept] // 2
+        self.known, self.special_size = self.Known(), 0
+        self.known.update((pieces[k], i) for i, k in enumerate(kept.tolist()))
+
     def _numbers(self, pieces: list[str]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
     def _learn(self) -> None:
-        """Encode the new pieces: most of them in long runs, with a line break, a token of its own, between two."""
+        """Encode the new pieces: words one by one, most others in long runs with a line break, a token of its own, between two."""
         new, self.known.new = self.known.new, []
         if not new:
             return
+        found = [self._word(p) for p in new]
+        words = np.array([f is not None for f in found])
+        begin, length = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        uncut = np.zeros(len(new), bool)
+        length[words] = [len(f) for f in found if f is not None]
+        begin[words] = len(self.ids) + np.cumsum(length[words]) - length[words]
+        made = [np.fromiter((i for f in found if f is not None for i in f), np.uint32, int(length.sum()))]
+        others = np.flatnonzero(~words)
+        if len(others):
+            ids, begin[others], length[others], uncut[others] = self._others([new[i] for i in others])
+            begin[others] += len(self.ids) + len(made[0])
+            made.append(ids)
+        self.ids = np.concatenate([self.ids, *made])
+        self.begin, self.length = np.append(self.begin, begin), np.append(self.length, length)
+        self.uncut, self.uses = np.append(self.uncut, uncut), np.append(self.uses, np.zeros(len(new), np.int64))
+
+    def _word(self, piece: str) -> tuple[int, ...] | None:
+        """Ids of a piece that is a word with marks behind it, else None."""
+        match = self.words is not None and WORD.fullmatch(piece)
+        if not match or (self.special and match[1] == FIRST and self.special.search(piece)):
+            return None
+        ids = self.words[match[2] if match[1] else " " + match[2]]
+        if match[3]:
+            ids += self.words[match[3]]
+        return (self.line_break, *ids) if match[1] and match[1] != FIRST else ids
+
+    def _others(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, the begin and length of each, and whether its text needs a more careful cut."""
         # A piece after a blank is known without it; the first piece of a text or line carries a mark.
         bodies = [p[p.index(FIRST) + 1:] if FIRST in p[:2] else " " + p for p in new]
         whole = np.array([bool(b and b[-1] > " " and not b[-1].isspace() and not (b[1:2] if b[0] == " " else b[0]).isspace() and b != " ")
@@ -97,7 +166,7 @@ class PieceEncoder:
         broken = np.array([p[:1] == "\n" for p in new])
         plain = whole & np.array(["\n" not in b and not (self.special and self.special.search(b)) for b in bodies])
         begin, length = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        made, size = [], len(self.ids)
+        made, size = [], 0
         runs = np.flatnonzero(plain)
         joined = ["\n" + "\n".join(bodies[i] for i in runs[k:k + RUN_PIECES]) for k in range(0, len(runs), RUN_PIECES)]
         for k, ids in enumerate(self._batch(joined)):
@@ -115,9 +184,7 @@ class PieceEncoder:
             made.append(ids)
             size += len(ids)
         first = np.array([p[:1] == FIRST for p in new])
-        self.ids = np.concatenate([self.ids, *made])
-        self.begin, self.length = np.append(self.begin, begin), np.append(self.length, length)
-        self.uncut = np.append(self.uncut, ~whole & ~first)
+        return np.concatenate([np.empty(0, np.uint32), *made]), begin, length, ~whole & ~first
 
     def _batch(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -125,7 +192,7 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the end id, and the number of ids of each."""
         if len(self.known) > MOST_PIECES or self.special_size > MOST_SPECIAL:
-            self.forget()
+            self.thin()
         # What a special token does to the text around it is the library's matter: such texts are encoded whole.
         uncuttable = [bool(self.special and self.special.search(t)) for t in texts]
         self.special_size += sum(len(t) for t, u in zip(texts, uncuttable) if u)
@@ -149,6 +216,7 @@ class PieceEncoder:
             runs = [redone.get(i, numbers[firsts[i]:ends[i]]) for i in range(len(cut))]
             numbers, sizes = np.concatenate(runs), np.array([len(r) for r in runs], np.int64)
             ends = np.cumsum(sizes)
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
         begin, length = self.begin[numbers], self.length[numbers]
         filled = np.concatenate(([0], np.cumsum(length)))
         per_text = np.diff(filled[np.concatenate(([0], ends))])
