@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,7 @@ class PieceEncoder:
         uncut = np.zeros(len(new), bool)
         length[words] = [len(f) for f in found if f is not None]
         begin[words] = len(self.ids) + np.cumsum(length[words]) - length[words]
-        made = [np.fromiter((i for f in found if f is not None for i in f), np.uint32, int(length.sum()))]
+        made = [np.fromiter(chain.from_iterable(f for f in found if f is not None), np.uint32, int(length.sum()))]
         others = np.flatnonzero(~words)
         if len(others):
             ids, begin[others], length[others], uncut[others] = self._others([new[i] for i in others])
@@ -295,13 +296,22 @@ def frequencies(ids: DataFrame) -> list[int]:
     """Ids in use, the most frequent first. At most the tokenizer's vocabulary reaches the driver."""
 
     def count(batches):
-        total = np.zeros(1, np.int64)
+        total, held, size = np.zeros(1, np.int64), [], 0
+
+        def add() -> np.ndarray:
+            seen = np.bincount(np.concatenate(held)) if held else np.zeros(1, np.int64)
+            wide = np.zeros(max(len(seen), len(total)), np.int64)
+            wide[:len(total)] = total
+            wide[:len(seen)] += seen
+            return wide
+
         for batch in batches:
             for blob, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist()):
-                seen = np.bincount(_words(blob, n))
-                if len(seen) > len(total):
-                    total = np.pad(total, (0, len(seen) - len(total)))
-                total[:len(seen)] += seen
+                held.append(_words(blob, n))
+                size += n
+                if size > BLOCK_TOKENS:
+                    total, held, size = add(), [], 0
+        total = add()
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": used.astype(np.int64), "uses": total[used]})
 
