@@ -313,3 +313,18 @@ def test_toxicity_edges(spark, docs):
     none = toxicity.scored(docs(rows), labels.where("false")).collect()
     assert {r.predicted for r in none} == {0}
     assert toxicity.scored(docs([]), labels).count() == 0
+
+
+@pytest.mark.parametrize("most", [40, 1_000_000])
+def test_pieces_give_the_ids_of_whole_texts(monkeypatch, most):
+    import public_tokenizers
+
+    monkeypatch.setattr(tokens, "MOST_PIECES", most)
+    encoder = tokens.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), special=True)
+    random = np.random.default_rng(3)
+    parts = ["a", "é", "ß", "don't", "'s", "<|endoftext|>", " ", " ", "  ", "\n", "\n\n", ".", ",", "%%%", "1", "word", "Word", "ŋ", "ɐ", "中", "\t", "😀", "ab,", "c.d"]
+    for _ in range(10):
+        texts = ["".join(random.choice(parts, random.integers(0, 25))) for _ in range(100)]
+        ids, lengths = encoder.encode(texts)
+        for text, got in zip(texts, np.split(ids, np.cumsum(lengths)[:-1])):
+            assert got.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, tokens.END_ID], text
