@@ -277,3 +277,28 @@ def test_drop_is_landed_and_problem_files_recorded(spark, tmp_path, folder, data
     assert [(r.file_name, r.table_name) for r in spark.table(f"{database}.problem_files").collect()] == [
         ("GL.acme.odd.2024-01-02_1.csv", "GL")]
     assert landed.where(F.col("record_no") > 0).count() == 2
+
+
+def test_landed_pages_of_one_source_are_written_where_their_rows_are(spark):
+    """Full pages per scan partition, also where Spark broadcasts nothing by itself: no task gets all of a source."""
+    from pathlib import Path
+
+    from tablewright.registry.common import write_pages
+
+    rows = spark.range(0, 5000, 1, 4).select(
+        "id", F.when(F.col("id") % 7 == 3, "a\n\"b\"").alias("text"), F.create_map(F.lit("k"), F.col("id").cast("string")).alias("m"),
+        F.when(F.col("id") >= 0, "t1").alias("tenantId"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        path = write_pages(rows, "tenantId", 500)
+    finally:
+        spark.conf.set(key, before)
+    assert len([f for f in Path(path).glob("source=t1/part-*")]) == 4
+    pages = paged_json.read_pages(spark, path, rows.drop("tenantId").schema)
+    assert sorted(r.n for r in pages.select(F.size("data").alias("n")).collect()) == [250] * 4 + [500] * 8
+    assert [r.asDict() for r in joins.expected_rows(pages).select("records", "totalCount", "complete").collect()] == [
+        {"records": 5000, "totalCount": 5000, "complete": True}]
+    back = paged_json.records_of(pages).select("id", "text", "m", "tenantId")
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
