@@ -73,6 +73,17 @@ def test_quantiles_hold_nan_and_open_ends(spark):
     assert math.isnan(found["75%"]) and found["25%"] == df.where("not isnan(v)").agg(F.sort_array(F.collect_list("v"))[149_999]).first()[0]
 
 
+def test_quantiles_between_two_frequent_values_need_few_rounds(spark, monkeypatch):
+    """A quarter of the values is at the edge of one that holds a quarter, so no sketch can part it from the next."""
+    monkeypatch.setattr(profile, "MOST_ROUNDS", 2)
+    df = spark.range(0, 1_600_000, numPartitions=4).select((F.col("id") % 4).alias("v"), F.when(F.col("id") % 4 < 3, F.col("id") % 4).otherwise(F.col("id")).alias("w"))
+    narrowed = profile._brackets(df, ["v", "w"], None)
+    assert all(b.found is not None or b.held <= profile.SORTED_VALUES for b in narrowed)
+    found = rows(profile.quantiles(df, ["v", "w"]))
+    for name in "vw":
+        assert [found[name][q] for q in profile.QUANTILE_NAMES] == [0, 1, 2]
+
+
 def test_string_profile_counts_null_as_a_value(spark):
     found = rows(profile.string_profile(sample(spark)))["name"]
     assert (found["Distinct"], found["Nulls"], found["Count"]) == (3, 1, 3)
