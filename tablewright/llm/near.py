@@ -11,9 +11,9 @@ the same set are one class from the start. The join then works on classes:
 3. Opening a group compares whole sets, exactly, inside a task. First the members of each chunk are connected, then
    one class of each component with few others that have a small shingle in common.
 4. The token-group matrix holds for each group, a chunk's members of one component, the union of their rarest shared
-   shingles. A class asks a group of a larger component only if it shares as many shingles with that union as a link
-   demands: first one class of each component, then whatever is still not connected. No link between two components can
-   be missed, and no list of all pairs is ever made.
+   shingles, fewer of a set as the smaller one of a link than as the larger one. A class asks a group of a larger
+   component only if it shares one of them: first one class of each component, then whatever is still not connected. No
+   link between two components can be missed, and no list of all pairs is ever made.
 
 Words are split at ASCII white space after A-Z are lower-cased; a text of fewer words is one shingle; one without words
 has an empty set and links with nothing. Null texts are empty. A null doc_id may link; it is never the smallest id while
@@ -83,6 +83,11 @@ def demanded(n: Column) -> Column:
     return F.ceil(n * PERCENT / 100)
 
 
+def demanded_of_smaller(n: Column) -> Column:
+    """Shingles that a set of n has in common with any set it links with that is not smaller."""
+    return F.ceil(n * (2 * PERCENT) / (100 + PERCENT))
+
+
 def _spread(docs: DataFrame, cut: Callable[[int], int]) -> DataFrame:
     """One row per document (doc_id, n, sid) and one per shingle (sid, token) that several sets have among their smallest `cut(n)`.
 
@@ -333,23 +338,31 @@ def _bridges(local: DataFrame, alive: DataFrame) -> DataFrame:
 def _qualified(alive: DataFrame, labels: DataFrame) -> DataFrame:
     """The token-group matrix: sid, chunk (a chunk with members of another component that sid may link with).
 
-    A chunk's members of one component are a group; a class never asks its own chunk, which was opened as a whole. Rows and unions are cut to each class's rarest tokens, as many as
-    hold some of any overlap that a link demands (see `needed`); which ones come first does not matter as long as all classes
-    sort alike, and with rare tokens first a passage that many texts share is in few of them. Tokens of one component
-    only, which are most, leave before anything is joined. The smaller component asks.
+    A chunk's members of one component are a group; a class never asks its own chunk, which was opened as a whole. Of two
+    sets that link the smaller one has more in common with the other than its own size demands at least (see
+    `demanded_of_smaller`), so the first token that both hold, rarest first, is among the first few of the smaller one and
+    among somewhat more of the larger one; how tokens are ordered does not matter as long as all classes sort alike. Each
+    class is in both parts, and tokens meet only across them. A passage of which texts hold as much as a link demands of
+    the larger one, but not of the smaller one, brings none of them together, however many they are; texts that hold
+    more of it link and are few groups by now. Tokens of one component only, or of no smaller part, leave before anything
+    is joined. The smaller component asks.
     """
-    ahead = F.size("tokens") - demanded(F.col("n")) + F.greatest(F.lit(1), F.floor(F.lit(EXTRA) * F.col("n")))
-    forward = stored(alive.select("sid", F.explode(F.slice("tokens", F.lit(1), ahead.cast("int"))).alias("token"))
+    held, n = F.size("tokens"), F.col("n")
+    forward = stored(alive.select("sid", (held - demanded_of_smaller(n)).alias("few"),
+                                  F.posexplode(F.slice("tokens", F.lit(1), (held - demanded(n) + 1).cast("int"))).alias("at", "token"))
+                     .select("sid", "token", (F.col("at") <= F.col("few")).alias("smaller"))
                      .join(labels.select("sid", "component", "chunk"), "sid"), "near_forward")
-    crossing = (forward.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low <> high").select("token"))
+    crossing = (forward.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("smaller").alias("smaller"))
+                .where("low <> high AND smaller").select("token"))
     sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
     marked = stored(forward.join(crossing, "token", "left_semi").join(sizes, "component")
-                    .select("sid", "token", "chunk", F.struct("size", "component").alias("home")), "near_marked")
-    cells = marked.groupBy("token", F.col("home").alias("other"), F.col("chunk").alias("there")).agg(F.count("*").alias("k")).drop("k")
-    counted = marked.join(cells, "token").where("home < other AND chunk <> there").groupBy("sid", "other", "there").agg(F.count("*").alias("k"))
-    return (counted.join(alive.select("sid", "n"), "sid").where(F.col("k") >= needed(F.col("n")))
-            .select("sid", F.col("there").alias("chunk")).distinct())
+                    .select("sid", "token", "chunk", "smaller", F.struct("size", "component").alias("home")), "near_marked")
+    cells = marked.groupBy("token", F.col("home").alias("other"), F.col("chunk").alias("there")).agg(F.max("smaller").alias("smaller"))
+
+    def met(asking: DataFrame, groups: DataFrame) -> DataFrame:
+        return asking.drop("smaller").join(groups.drop("smaller"), "token").where("home < other AND chunk <> there").select("sid", F.col("there").alias("chunk"))
+
+    return met(marked.where("smaller"), cells).unionByName(met(marked.where("NOT smaller"), cells.where("smaller"))).distinct()
 
 
 def _labelled(placed: DataFrame, links: DataFrame, label: str) -> DataFrame:

@@ -61,6 +61,34 @@ def test_small_chunks_and_no_extra_lose_no_link(spark, docs, documents, texts, m
     assert {i: c for i, (_, c) in got.items()} == brute_components(texts)
 
 
+def matrix(spark, sets):
+    """(class, chunk) pairs of the token-group matrix where each set is a component and a chunk of its own."""
+    freq = Counter(t for s in sets.values() for t in s)
+    rows = [(i, len(s), sorted((t for t in s if freq[t] > 1), key=lambda t: (freq[t], t))) for i, s in sets.items()]
+    alive = spark.createDataFrame([r for r in rows if len(r[2]) >= near.least_overlap(r[1])], "sid long, n long, tokens array<long>")
+    labels = spark.createDataFrame([(i, i, i) for i in sets], "sid long, chunk long, component long")
+    return {(r.sid, r.chunk) for r in near._qualified(alive, labels).collect()}
+
+
+def test_matrix_leaves_a_shared_passage_alone(spark):
+    """80 of 100 shingles in common are not enough for a link, and no two of the classes are brought together."""
+    assert matrix(spark, {k: set(range(80)) | {1000 * (k + 1) + j for j in range(20)} for k in range(60)}) == set()
+
+
+def test_matrix_has_every_link(spark):
+    """Sets cut from the same few, down to three quarters of one another's size: each link is asked from one side."""
+    random = np.random.default_rng(5)
+    sets = {0: set(range(40)), 1: set(range(30)), 2: set(range(29)), 3: {500, 501, 502}, 4: {500, 501, 502, 503}, 5: {900}, 6: {900, 901}}
+    for k in range(7, 160):
+        whole = np.arange(2000 + 100 * (k % 5), 2000 + 100 * (k % 5) + int(random.integers(4, 60) if k % 2 else random.integers(30, 44)))
+        own = 10_000 + 100 * k + np.arange(int(random.integers(0, 1 + len(whole) // 6)))
+        sets[k] = set(random.permutation(whole)[:len(whole) - int(random.integers(0, 1 + len(whole) // 8))].tolist()) | set(own.tolist())
+    linked = {(a, b) for a in sets for b in sets if a < b and near._links(len(sets[a] & sets[b]), len(sets[a]), len(sets[b]))}
+    asked = matrix(spark, sets)
+    assert {(0, 1), (3, 4)} <= linked and not {(0, 2), (5, 6)} & linked and len(linked) > 300
+    assert not [pair for pair in linked if pair not in asked and pair[::-1] not in asked]
+
+
 def test_edges(spark, docs):
     rows = [(9, "One two three"), (4, "one TWO three"), (1, ""), (2, None), (3, " \n"), (None, "one two three"), (7, "one two"), (7, "one two"),
             (8, "a b c d e"), (6, "a b c d e f")]
