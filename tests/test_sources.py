@@ -279,6 +279,25 @@ def test_drop_is_landed_and_problem_files_recorded(spark, tmp_path, folder, data
     assert landed.where(F.col("record_no") > 0).count() == 2
 
 
+def test_archives_share_folders_and_replace_only_themselves(spark, folder, database):
+    from pathlib import Path
+
+    def drop(**archives):
+        rows = [(path, pack({f"GL.acme.all.{day}_1.csv": f"a\n{value}\n" for day, value in members.items()})) for path, members in archives.items()]
+        return spark.createDataFrame(rows, "path string, content binary")
+
+    target, control = folder(), f"{database}.problem_files"
+    first = {f"z{k}": {"2024-01-01": k, "2024-01-02": k} for k in range(40)}
+    flows.land_drop(drop(**first), target, control)
+    assert len(list(Path(target).glob("table=*/date=*/drop=*"))) <= 2 * flows.DROP_FOLDERS
+    flows.land_drop(drop(late={"2024-01-01": 500}), target, control)
+    landed = flows.land_drop(drop(z3={"2024-01-01": 103}, z4={"2024-01-01": 104, "2024-01-03": 104}, new={"2024-01-02": 7}), target, control)
+    got = sorted((r.path, r.date, r.fields[0]) for r in landed.where("record_no = 1").collect())
+    want = {(path, day): str(v) for path, days in first.items() for day, v in days.items()}
+    want |= {("late", "2024-01-01"): "500", ("z3", "2024-01-01"): "103", ("z4", "2024-01-01"): "104", ("z4", "2024-01-03"): "104", ("new", "2024-01-02"): "7"}
+    assert got == sorted((path, day.replace("-", ""), v) for (path, day), v in want.items())
+
+
 def test_landed_pages_of_one_source_are_written_where_their_rows_are(spark):
     """Full pages per scan partition, also where Spark broadcasts nothing by itself: no task gets all of a source."""
     from pathlib import Path
