@@ -321,3 +321,31 @@ def test_landed_pages_of_one_source_are_written_where_their_rows_are(spark):
         {"records": 5000, "totalCount": 5000, "complete": True}]
     back = paged_json.records_of(pages).select("id", "text", "m", "tenantId")
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_landed_pages_take_a_fraction_of_their_text_in_files_of_few_pages(spark, monkeypatch):
+    import gzip
+    from pathlib import Path
+
+    from tablewright.registry import common, nesting
+
+    monkeypatch.setattr(common, "FILE_PAGES", 2)
+    rows = nesting.invoice_texts(spark, "/root/testdata/sf0.001")
+    path = common.write_pages(rows, "tenantId", 500)
+    landed = list(Path(path).glob("source=t1/part-*"))
+    texts = [gzip.decompress(f.read_bytes()) for f in landed]
+    assert sum(f.stat().st_size for f in landed) * 10 < sum(map(len, texts))
+    assert max(t.count(b"\n") for t in texts) == 2 and sum(t.count(b"\n") for t in texts) == -(-rows.count() // 500)
+    pages = paged_json.read_pages(spark, path, rows.drop("tenantId").schema)
+    assert joins.expected_rows(pages).select("records", "totalCount", "complete").collect() == [(rows.count(), rows.count(), True)]
+    back = paged_json.records_of(pages).select(*rows.columns)
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
+def test_a_compressed_file_of_pages_that_is_cut_off_stops_the_read(spark, tmp_path):
+    import gzip
+
+    lines = "".join(json.dumps({"page": n, "pageSize": 1, "totalCount": 9000, "hasMore": n < 9000, "data": [{"id": n * 7919 % 9001}]}) + "\n" for n in range(1, 9001))
+    put(tmp_path / "source=a" / "1.json.gz", gzip.compress(lines.encode())[:-4000])
+    with pytest.raises(Exception):
+        paged_json.records_of(paged_json.read_pages(spark, str(tmp_path), T.StructType.fromDDL("id bigint"))).collect()
